@@ -73,8 +73,9 @@ class MaskProfile:
 
     rules: tuple[ColumnRule, ...] = field(default=VALIDATION_RULES)
     share: float = 0.01
-    divergence: float = 0.02
-    null_gap: float = 0.05
+    divergence: float = 0.005
+    times_median: float = 3.0
+    null_gap: float = 0.03
 
     def cells(self, df: DataFrame, id_col: str, load_col: str) -> DataFrame:
         """A row per cell: (row_id, load_no, field, value, mask, absent, valid, number)."""
@@ -129,9 +130,11 @@ class MaskProfile:
         Counts, absent and ill-formed shares, exact distinct values, range of
         the valid numbers, the commonest mask with its share, the
         Jensen-Shannon divergence of the load's masks from those of all other
-        loads, the same of the numbers (quartile bins of the whole column),
-        and ``differs`` where a divergence or the absent share departs from
-        the other loads. Columns without values have null ranges. Null loads
+        loads, the same of the values (numbers in eighths of the whole column,
+        truth values by their spelling), the gap of the absent share to its
+        median over loads, and ``differs`` where a divergence is above both
+        ``divergence`` and ``times_median`` times its median over the column's
+        loads, or the gap is above ``null_gap``. Columns without values have null ranges. Null loads
         form a load of their own.
         """
         cells = self.cells(df, id_col, load_col)
@@ -153,20 +156,22 @@ class MaskProfile:
             values.where(F.col("number").isNotNull())
             .join(F.broadcast(edges), "field")
             .select("field", "load_no", "n", F.size(F.filter("edges", lambda e: e <= F.col("number"))).cast("string").alias("bin"))
+            .unionByName(values.where(F.col("valid") & F.col("number").isNull()).select("field", "load_no", "n", F.lower("value").alias("bin")))
             .groupBy("field", "load_no", "bin")
             .agg(F.sum("n").alias("n"))
         )
-        absent_all = base.groupBy("field").agg(F.sum("n_absent").alias("_fa"), F.sum("n_rows").alias("_fr"))
         out = _attach(base, top)
-        for gap in (_divergence(masks, "mask", "mask_divergence"), _divergence(bins, "bin", "number_divergence")):
+        for gap in (_divergence(masks, "mask", "mask_divergence"), _divergence(bins, "bin", "value_divergence")):
             out = _attach(out, gap)
-        others = F.try_divide(F.col("_fa") - F.col("n_absent"), F.col("_fr") - F.col("n_rows"))
-        out = out.join(F.broadcast(absent_all), "field").withColumn("absent_share", F.col("n_absent") / F.col("n_rows")).withColumn("absent_gap", F.col("absent_share") - others)
+        out = out.withColumn("absent_share", F.col("n_absent") / F.col("n_rows"))
+        usual = out.groupBy("field").agg(*[F.percentile(c, 0.5).alias(f"_{c}") for c in ("absent_share", "mask_divergence", "value_divergence")])
+        out = out.join(F.broadcast(usual), "field").withColumn("absent_gap", F.col("absent_share") - F.col("_absent_share"))
+        shifted = [F.col(c) > F.greatest(F.lit(self.divergence), self.times_median * F.col(f"_{c}")) for c in ("mask_divergence", "value_divergence")]
         return out.select(
             "field", "load_no", "n_rows", "n_absent", "absent_share", "n_violations", "n_distinct", "min_number", "max_number", "top_mask",
             F.try_divide(F.col("_top"), F.col("_present")).alias("top_mask_share"),
-            "mask_divergence", "number_divergence", "absent_gap",
-            F.coalesce((F.col("mask_divergence") > self.divergence) | (F.col("number_divergence") > self.divergence) | (F.abs("absent_gap") > self.null_gap), F.lit(False)).alias("differs"),
+            "mask_divergence", "value_divergence", "absent_gap",
+            (F.coalesce(shifted[0], F.lit(False)) | F.coalesce(shifted[1], F.lit(False)) | (F.abs("absent_gap") > self.null_gap)).alias("differs"),
         )
 
 
