@@ -3,9 +3,40 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarrystone.llm import encoding
-from quarrystone.session import load
+from quarrystone.llm import encoding, grouped_splits, mixing, overlap, subjects
+from quarrystone.session import load, materialize
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train structures that superpose on an evaluation structure."""
+    pairs = overlap.SplitOverlap(load(spark, sf_dir, "structure_store")).record_pairs()
+    return pairs.select(F.least("train_id", "eval_id").alias("struct_a"), F.greatest("train_id", "eval_id").alias("struct_b"))
+
+
+def p2_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Overlaps per evaluation split and vertical."""
+    return overlap.SplitOverlap(load(spark, sf_dir, "structure_store")).report()
+
+
+def _groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return grouped_splits.structure_groups(load(spark, sf_dir, "structure_store"))
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of every structure that has a relative."""
+    return _groups(spark, sf_dir).where("group_size > 1").select(F.col("record_id").alias("struct_id"), "group_id")
+
+
+def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Train, val and test for each valid composition setting."""
+    configs = [
+        grouped_splits.SplitConfig(r["config_id"], r["method"], None if r["ratios"] is None else tuple(r["ratios"]), r["seed"])
+        for r in load(spark, sf_dir, "split_config").orderBy("config_id").collect()
+    ]
+    labels = grouped_splits.latest_records(load(spark, sf_dir, "structure_store")).select(F.col("struct_id").alias("record_id"), "vertical", "charge", "spin")
+    return grouped_splits.stratified_assignment(materialize(_groups(spark, sf_dir), "p5-groups"), labels, configs, ["vertical", "charge", "spin"])
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +44,34 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_corpus(load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids,)}
+def _mix(spark: SparkSession, sf_dir: str) -> mixing.SourceMix:
+    return mixing.SourceMix(load(spark, sf_dir, "documents"), load(spark, sf_dir, "mix_targets"))
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of the mix and how often each is in it."""
+    return _mix(spark, sf_dir).mixed()
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and actual share of each source."""
+    return _mix(spark, sf_dir).shares()
+
+
+def _assigned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subjects.SubjectModel(load(spark, sf_dir, "documents"), load(spark, sf_dir, "subject_labels"), load(spark, sf_dir, "subject_areas")).assign()
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subjects of every document."""
+    return _assigned(spark, sf_dir).select("doc_id", "subject")
+
+
+def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of the corpus each subject is."""
+    return subjects.subject_shares(_assigned(spark, sf_dir), load(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_splits, p8_ids, p9_mix, p9_shares, p10_found, p10_shares)}
 
 SQL: dict[str, str] = {}
