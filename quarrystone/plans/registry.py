@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarrystone.plans import training
+from quarrystone.plans import agreement, training
 
-_MODULES = (training,)
+_MODULES = (agreement, training)
 
 
 def queries() -> dict:
