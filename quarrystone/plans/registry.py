@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarrystone.plans import agreement, training
+from quarrystone.plans import agreement, relational, training
 
-_MODULES = (agreement, training)
+_MODULES = (agreement, relational, training)
 
 
 def queries() -> dict:
