@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarrystone.plans import agreement, relational, training
+from quarrystone.plans import agreement, quality, relational, training
 
-_MODULES = (agreement, relational, training)
+_MODULES = (agreement, relational, quality, training)
 
 
 def queries() -> dict:
