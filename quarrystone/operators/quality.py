@@ -16,9 +16,12 @@ MOST_DROPPED = 0.5
 
 
 def json_category(content: Column) -> Column:
-    """``empty`` (null or no bytes), ``invalid``, ``empty_content`` ({} or []) or ``ok`` for JSON text."""
+    """``empty`` (null or no bytes), ``invalid``, ``empty_content`` ({} or []) or ``ok`` for JSON text.
+
+    Names given more than once in an object do not make it invalid.
+    """
     text = F.trim(content)
-    parsed = F.try_parse_json(text)
+    parsed = F.get_json_object(text, "$")
     return F.when(content.isNull() | (F.length(text) == 0), "empty").when(parsed.isNull(), "invalid").when(F.regexp_replace(text, r"\s", "").isin("{}", "[]"), "empty_content").otherwise("ok")
 
 

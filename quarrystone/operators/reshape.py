@@ -14,9 +14,18 @@ MAP = "map<string,string>"
 NESTED = "map<string,map<string,string>>"
 
 
+def last_members(members: Column) -> Column:
+    """The entries of a parsed JSON object without those a later entry of their key replaces."""
+    entries = F.map_entries(members)
+    return F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + F.lit(2), F.size(entries)), lambda later: later["key"] == e["key"]))
+
+
 def json_members(df: DataFrame, content: str, keep: list[str]) -> DataFrame:
-    """(keep, name, value): the members of JSON objects, values as JSON text; other content has none."""
-    return df.select(*keep, F.explode(F.from_json(content, MAP)).alias("name", "value"))
+    """(keep, name, value): the members of JSON objects, values as JSON text; other content has none.
+
+    Of a name given more than once in an object the last member holds.
+    """
+    return df.select(*keep, F.inline(last_members(F.from_json(content, MAP)))).withColumnsRenamed({"key": "name"})
 
 
 def flat_leaves(df: DataFrame, content: str, keep: list[str], depth: int = 4) -> DataFrame:
@@ -126,7 +135,7 @@ def first_json_object(texts: pd.Series) -> pd.Series:
 def repaired_json(content: Column, sibling: Column) -> Column:
     """The content if it is JSON, else a sibling copy that is, else the content's first object, else null."""
     def good(c: Column) -> Column:
-        return F.when(F.try_parse_json(c).isNotNull(), c)
+        return F.when(F.get_json_object(c, "$").isNotNull(), c)
 
     return F.coalesce(good(content), good(sibling), good(first_json_object(content)))
 

@@ -139,8 +139,8 @@ _JSON = "SELECT * FROM job_files WHERE file_name LIKE '%.json' AND content IS NO
 
 
 @query(f"""
-WITH j AS ({_JSON}), m AS (SELECT file_id, unnest(json_keys(content)) AS name, content FROM j)
-SELECT file_id, name, round(TRY_CAST(json_extract_string(content, '$."' || name || '"') AS DOUBLE), 9) AS value FROM m
+WITH j AS ({_JSON})
+SELECT file_id, e.key AS name, round(TRY_CAST(arg_max(e.value, e.id) AS DOUBLE), 9) AS value FROM j, json_each(j.content) AS e GROUP BY file_id, e.key
 """)
 def json_explode(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = load(spark, sf_dir, "job_files").where(F.col("file_name").endswith(".json"))
