@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrystone.functions.numbers import correlation, correlation_from_sums, finite
+from quarrystone.operators.quantiles import exact_quantiles
 
 
 def scheme_pairs(df: DataFrame, schemes: dict[str, Column], keep: list[str]) -> DataFrame:
@@ -18,9 +19,17 @@ def scheme_pairs(df: DataFrame, schemes: dict[str, Column], keep: list[str]) ->
     return df.select(*keep, F.inline(pairs)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
 
 
-def _grouped(pairs: DataFrame, group: str) -> DataFrame:
-    """Rows for GROUPING SETS ((pair), (pair, group)) with null groups dropped from the second."""
-    return pairs.groupingSets([["scheme_a", "scheme_b"], ["scheme_a", "scheme_b", group]], "scheme_a", "scheme_b", group)
+def _levels(df: DataFrame, group: str) -> DataFrame:
+    """Every row for its group and, where ``_all`` is 1, once more for all groups; null groups have no rows of their own."""
+    none = F.lit(None).cast(df.schema[group].dataType)
+    both = F.array(F.struct(F.lit(0).alias("_all"), F.col(group).alias(group)), F.struct(F.lit(1).alias("_all"), none.alias(group)))
+    rest = [c for c in df.columns if c != group]
+    return df.select(*rest, F.inline(both)).where((F.col("_all") == 1) | F.col(group).isNotNull())
+
+
+def residual_quantiles(pairs: DataFrame, group: str, residual: str = "residual") -> DataFrame:
+    """(scheme_a, scheme_b, group, _all, n_obs, quantiles): quartiles of the residuals per pair and group and over all groups."""
+    return exact_quantiles(_levels(pairs.select("scheme_a", "scheme_b", group, residual), group), ["scheme_a", "scheme_b", "_all", group], residual, [0.25, 0.5, 0.75]).withColumnRenamed("n", "n_obs")
 
 
 def pair_agreement(df: DataFrame, schemes: dict[str, Column], group: str) -> DataFrame:
@@ -32,20 +41,27 @@ def pair_agreement(df: DataFrame, schemes: dict[str, Column], group: str) -> Dat
     """
     pairs = scheme_pairs(df, schemes, [group])
     a, b = F.col("a"), F.col("b")
-    out = _grouped(pairs, group).agg(
-        F.grouping(group).alias("_all"),
-        F.count(F.lit(1)).alias("n"),
-        F.sum(a).alias("sum_a"), F.sum(b).alias("sum_b"), F.sum(a * a).alias("sum_aa"), F.sum(b * b).alias("sum_bb"), F.sum(a * b).alias("sum_ab"),
-        F.sum(F.abs(a - b)).alias("sum_abs_residual"),
-        F.percentile(F.abs(a - b), F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"),
-    )
+    sums = {"sum_a": a, "sum_b": b, "sum_aa": a * a, "sum_bb": b * b, "sum_ab": a * b, "sum_abs_residual": F.abs(a - b)}
+    per_group = pairs.groupBy("scheme_a", "scheme_b", group).agg(F.count(F.lit(1)).alias("n"), *[F.sum(x).alias(name) for name, x in sums.items()])
+    totals = _levels(per_group, group).groupBy("scheme_a", "scheme_b", "_all", group).agg(*[F.sum(c).alias(c) for c in ("n", *sums)])
+    quartiles = residual_quantiles(pairs.select("scheme_a", "scheme_b", group, F.abs(a - b).alias("residual")), group)
     r = correlation_from_sums(*[F.col(c) for c in ("n", "sum_a", "sum_b", "sum_aa", "sum_bb", "sum_ab")])
-    return out.where((F.col("_all") == 1) | F.col(group).isNotNull()).select(
+    return _beside(totals, quartiles.drop("n_obs"), group).select(
         F.when(F.col("_all") == 1, "all").otherwise("group").alias("level"), "scheme_a", "scheme_b", group, "n", "sum_a", "sum_b", "sum_aa", "sum_bb", "sum_ab",
-        (F.col("sum_abs_residual") / F.col("n")).alias("mean_abs_residual"), F.col("q")[1].alias("median_abs_residual"), (F.col("q")[2] - F.col("q")[0]).alias("iqr_abs_residual"), r.alias("pearson"),
+        (F.col("sum_abs_residual") / F.col("n")).alias("mean_abs_residual"), F.col("quantiles")[1].alias("median_abs_residual"), (F.col("quantiles")[2] - F.col("quantiles")[0]).alias("iqr_abs_residual"), r.alias("pearson"),
     )
 
 
+def _beside(left: DataFrame, right: DataFrame, group: str) -> DataFrame:
+    """Joined by pair, level and group; null groups match."""
+    keys = ["scheme_a", "scheme_b", "_all", group]
+    other = right.withColumnsRenamed({c: f"_r{i}" for i, c in enumerate(keys)})
+    same = F.lit(True)
+    for i, c in enumerate(keys):
+        same = same & F.col(c).eqNullSafe(F.col(f"_r{i}"))
+    return left.join(other, same).drop(*[f"_r{i}" for i in range(len(keys))])
+
+
 def top_keys(pairs: DataFrame, by: list[str], key: str, score: Column, k: int) -> DataFrame:
     """(by, keys): the keys of the ``k`` highest scores as JSON text, repeated keys once, ties by key."""
     ranked = pairs.withColumn("_s", score).withColumn("_r", F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("_s"), F.col(key)))).where(F.col("_r") <= k)
@@ -56,14 +72,12 @@ def top_keys(pairs: DataFrame, by: list[str], key: str, score: Column, k: int) -
 def noise_floor(df: DataFrame, schemes: dict[str, Column], group: str, key: str, k: int = 50) -> DataFrame:
     """Median and spread of absolute residuals per scheme pair, over all rows and per group, with the keys that disagree most."""
     pairs = scheme_pairs(df, schemes, [group, key]).select(group, key, "scheme_a", "scheme_b", F.abs(F.col("a") - F.col("b")).alias("residual"))
-    stats = _grouped(pairs, group).agg(
-        F.grouping(group).alias("_all"), F.percentile("residual", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.count(F.lit(1)).alias("n_obs")
-    ).where((F.col("_all") == 1) | F.col(group).isNotNull())
-    whole = top_keys(pairs, ["scheme_a", "scheme_b"], key, F.col("residual"), k).withColumn(group, F.lit(None).cast(pairs.schema[group].dataType))
-    parts = top_keys(pairs.where(F.col(group).isNotNull()), ["scheme_a", "scheme_b", group], key, F.col("residual"), k)
-    tops = whole.unionByName(parts).select(F.col("scheme_a").alias("_a"), F.col("scheme_b").alias("_b"), F.col(group).alias("_g"), "top_keys")
-    return stats.join(tops, (F.col("scheme_a") == F.col("_a")) & (F.col("scheme_b") == F.col("_b")) & F.col(group).eqNullSafe(F.col("_g"))).select(
-        "scheme_a", "scheme_b", group, F.col("q")[1].alias("mar"), (F.col("q")[2] - F.col("q")[0]).alias("iqr"), "n_obs", "top_keys"
+    # the highest of all groups are among the highest of each
+    order = Window.partitionBy("scheme_a", "scheme_b", group).orderBy(F.desc("residual"), F.col(key))
+    highest = pairs.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
+    tops = top_keys(_levels(highest, group), ["scheme_a", "scheme_b", "_all", group], key, F.col("residual"), k)
+    return _beside(residual_quantiles(pairs, group), tops, group).select(
+        "scheme_a", "scheme_b", group, F.col("quantiles")[1].alias("mar"), (F.col("quantiles")[2] - F.col("quantiles")[0]).alias("iqr"), "n_obs", "top_keys"
     )
 
 
@@ -78,8 +92,8 @@ def exemplars(df: DataFrame, schemes: dict[str, Column], group: str, key: str, k
 def redundancy(df: DataFrame, descriptors: dict[str, Column], group: str, least: int = 2) -> DataFrame:
     """Pearson's r of every pair of descriptors, over all rows and per group of at least ``least`` rows."""
     pairs = scheme_pairs(df, descriptors, [group])
-    out = _grouped(pairs, group).agg(F.grouping(group).alias("_all"), F.count(F.lit(1)).alias("n"), correlation(F.col("a"), F.col("b")).alias("pearson"))
-    return out.where((F.col("n") >= least) & ((F.col("_all") == 1) | F.col(group).isNotNull())).select("scheme_a", "scheme_b", group, "n", "pearson")
+    out = _levels(pairs, group).groupBy("scheme_a", "scheme_b", "_all", group).agg(F.count(F.lit(1)).alias("n"), correlation(F.col("a"), F.col("b")).alias("pearson"))
+    return out.where(F.col("n") >= least).select("scheme_a", "scheme_b", group, "n", "pearson")
 
 
 def scheme_weighted_floor(floors: DataFrame, by: list[str], value: str = "mar", weight: str = "n_obs") -> DataFrame:
