@@ -39,15 +39,16 @@ def sainte_lague(weights: np.ndarray, caps: np.ndarray, seats: int) -> np.ndarra
 
     if seats <= 0:
         return np.zeros(len(weights), np.int64)
-    low, high = 1e-300, 4 * weights.max() + 1e-9
-    for _ in range(2200):
-        middle = np.sqrt(low * high) if high > 4 * low else (low + high) / 2
+    # at ``low`` every weight would get all seats, at ``high`` none would get one
+    low, high = weights[weights > 0].min() / (seats + 2), 4 * weights.max()
+    for _ in range(200):
+        middle = np.sqrt(low) * np.sqrt(high)
+        if not low < middle < high:
+            break
         if at(middle).sum() > seats:
             low = middle
         else:
             high = middle
-        if high - low <= 1e-15 * high:
-            break
     given = at(high)
     heap = [(-w / (2 * k + 1), i) for i, (w, k, c) in enumerate(zip(weights, given, caps)) if k < c]
     heapq.heapify(heap)
