@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarrystone.plans import agreement, quality, relational, training
+from quarrystone.plans import agreement, inputs, quality, relational, training
 
-_MODULES = (agreement, relational, quality, training)
+_MODULES = (agreement, relational, quality, inputs, training)
 
 
 def queries() -> dict:
