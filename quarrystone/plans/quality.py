@@ -268,7 +268,7 @@ _VALID = "lower(trim({c}, ' ')) = 'true'"
 
 @query(f"""
 SELECT subset, count(DISTINCT job_id) AS n_jobs, count(DISTINCT CASE WHEN {_VALID.format(c="val_qtaim")} AND {_VALID.format(c="val_charge")} AND {_VALID.format(c="val_bond")} THEN job_id END) AS n_valid,
-  count(DISTINCT CASE WHEN {_VALID.format(c="val_qtaim")} THEN job_id END) AS n_qtaim, round(avg(CASE WHEN isfinite(TRY_CAST(trim(total_time, ' ') AS DOUBLE)) THEN TRY_CAST(trim(total_time, ' ') AS DOUBLE) END), 4) AS mean_time
+  count(DISTINCT CASE WHEN {_VALID.format(c="val_qtaim")} THEN job_id END) AS n_qtaim, round(avg(CASE WHEN isfinite(TRY_CAST(trim(total_time, ' ') AS DOUBLE)) THEN TRY_CAST(trim(total_time, ' ') AS DOUBLE) END), 7) AS mean_time
 FROM validation GROUP BY subset
 """)
 def validity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -279,7 +279,7 @@ def validity_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     return rows.groupBy("subset").agg(
         F.count_distinct("job_id").alias("n_jobs"), F.count_distinct(F.when(valid("val_qtaim") & valid("val_charge") & valid("val_bond"), F.col("job_id"))).alias("n_valid"),
-        F.count_distinct(F.when(valid("val_qtaim"), F.col("job_id"))).alias("n_qtaim"), F.round(F.avg(numbers.finite(F.when(F.trim("total_time").rlike(r"^[0-9.eE+-]+$"), F.trim("total_time").try_cast("double")))), 4).alias("mean_time"),
+        F.count_distinct(F.when(valid("val_qtaim"), F.col("job_id"))).alias("n_qtaim"), F.round(F.avg(numbers.finite(F.when(F.trim("total_time").rlike(r"^[0-9.eE+-]+$"), F.trim("total_time").try_cast("double")))), 7).alias("mean_time"),
     )
 
 
