@@ -26,10 +26,14 @@ def scan_folders(files: DataFrame, folder: str, size: str) -> DataFrame:
 
 
 def parents(folders: DataFrame, folder: str) -> DataFrame:
-    """All proper ancestors of the folders, each once."""
-    parts = F.split(F.regexp_replace(folder, "^/", ""), "/")
-    up = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda k: F.concat(F.lit("/"), F.array_join(F.slice(parts, F.lit(1), k), "/")))
-    return folders.where(F.size(parts) > 1).select(F.explode(up).alias(folder)).distinct()
+    """All proper ancestors of the folders, each once: ``/`` of an absolute path, none of a relative one's first part."""
+    absolute = F.startswith(folder, F.lit("/"))
+    parts = F.filter(F.split(folder, "/"), lambda p: p != "")
+    first = F.when(absolute, 0).otherwise(1)
+    up = F.transform(
+        F.sequence(first, F.size(parts) - 1), lambda k: F.concat(F.when(absolute, F.lit("/")).otherwise(F.lit("")), F.array_join(F.slice(parts, F.lit(1), k), "/"))
+    )
+    return folders.where(F.size(parts) > first).select(F.explode(up).alias(folder)).distinct()
 
 
 def leaf_folders(folders: DataFrame, folder: str, special: str = "generator") -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.functions import keys, numbers
-from quarrystone.operators import folders, masks, profiling, quality, records, reshape, scaling
+from quarrystone.operators import folders, masks, packing, profiling, quality, records, reshape, scaling
 from quarrystone.plans.agreement import _CLASSIFIED, _STRUCTURES, _structures
 from quarrystone.plans.base import QuerySet
 from quarrystone.session import load
@@ -78,6 +78,11 @@ def json_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 NEEDED = ("charge.json", "bond.json", "qtaim.json", "timings.json")
 
 
+def _in_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All job files, each folder in one spelling."""
+    return load(spark, sf_dir, "job_files").withColumn("folder", packing.normal_folder(F.col("folder")))
+
+
 @query("""
 WITH f AS (SELECT folder, file_name, n_bytes FROM job_files WHERE regexp_full_match(folder, '/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*')),
 h AS (SELECT folder, list(DISTINCT file_name) FILTER (n_bytes > 0) AS have FROM f GROUP BY folder),
@@ -85,8 +90,8 @@ m AS (SELECT folder, list_filter(['charge.json', 'bond.json', 'qtaim.json', 'tim
 SELECT folder, CAST(4 - len(missing) AS INTEGER) AS n_needed, array_to_string(missing, ',') AS missing, len(missing) = 0 AS complete FROM m
 """)
 def folder_completeness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = load(spark, sf_dir, "job_files").where(F.col("folder").rlike(r"\A/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*\z"))
-    return folders.completeness(files, "folder", "file_name", "n_bytes", list(NEEDED))
+    """Every file counts for its folder, however that is written; files without a folder are reported under null."""
+    return folders.completeness(_in_folders(spark, sf_dir), "folder", "file_name", "n_bytes", list(NEEDED))
 
 
 @query("""
@@ -122,7 +127,7 @@ def folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT DISTINCT folder FROM job_files WHERE regexp_full_match(folder, '/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*')")
 def leaf_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves among the job folders and all their ancestors."""
-    own = load(spark, sf_dir, "job_files").select("folder").where(F.col("folder").rlike(r"\A/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*\z")).distinct()
+    own = _in_folders(spark, sf_dir).select("folder").where(F.col("folder").isNotNull()).distinct()
     return folders.leaf_folders(own.unionByName(folders.parents(own, "folder")), "folder")
 
 
@@ -130,7 +135,7 @@ def leaf_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT DISTINCT replace(regexp_replace(folder, '^/scratch/omega/', ''), '/', '__') AS key FROM job_files WHERE regexp_full_match(folder, '/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*')
 """)
 def key_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    own = load(spark, sf_dir, "job_files").where(F.col("folder").rlike(r"\A/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*\z"))
+    own = _in_folders(spark, sf_dir).where(F.col("folder").isNotNull())
     return own.select(keys.key_from_path(F.col("folder"), "/scratch/omega").alias("key")).distinct()
 
 
