@@ -109,6 +109,18 @@ def nearest(points: DataFrame, atoms: DataFrame, record: list[str], point: str,
     return (ranked if margin is None else ranked.where(F.col("dist") <= margin)).select(*record, point, "atom", "dist", "rank")
 
 
+def in_blocks(queries: DataFrame, rows: DataFrame, key: str, condition: Column, block_rows: int = 10_000) -> DataFrame:
+    """All pairs of ``queries`` and ``rows`` that meet the condition.
+
+    The queries are broadcast in blocks of about ``block_rows``, split by the
+    hash of their ``key``, so no key brings rows together and no task holds
+    more than a block.
+    """
+    n = max(1, -(-queries.count() // block_rows))
+    block = F.pmod(F.xxhash64(key), F.lit(n))
+    return reduce(DataFrame.unionByName, [rows.join(F.broadcast(queries.where(block == i)), condition) for i in range(n)])
+
+
 def latest_wins(existing: DataFrame, incoming: DataFrame, key: list[str], version: str) -> DataFrame:
     """Upsert: both tables' rows, per key the one with the highest version; at a tie the incoming one."""
     both = existing.withColumn("_new", F.lit(0)).unionByName(incoming.withColumn("_new", F.lit(1)))
