@@ -22,9 +22,9 @@ from quarrystone.session import materialize
 
 BLOCK_SCHEMA = (
     "block_id string, block_bytes bigint, n_files int, block binary, "
-    "members array<struct<file_id:bigint,folder:string,file_name:string,offset:bigint,length:bigint,crc32:bigint>>"
+    "members array<struct<file_id:bigint,key:string,folder:string,file_name:string,offset:bigint,length:bigint,crc32:bigint>>"
 )
-_MEMBER = pa.struct([("file_id", pa.int64()), ("folder", pa.string()), ("file_name", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("crc32", pa.int64())])
+_MEMBER = pa.struct([("file_id", pa.int64()), ("key", pa.string()), ("folder", pa.string()), ("file_name", pa.string()), ("offset", pa.int64()), ("length", pa.int64()), ("crc32", pa.int64())])
 _BLOCK = pa.schema([("block_id", pa.string()), ("block_bytes", pa.int64()), ("n_files", pa.int32()), ("block", pa.binary()), ("members", pa.list_(_MEMBER))])
 
 
@@ -65,13 +65,13 @@ def _pack(target: int):
             )
 
         for batch in batches:
-            names, folders, ids = batch.column("file_name").to_pylist(), batch.column("folder").to_pylist(), batch.column("file_id").to_pylist()
+            names, folders, ids, keys = (batch.column(c).to_pylist() for c in ("file_name", "folder", "file_id", "_key"))
             for i, data in enumerate(batch.column("content").to_pylist()):
                 data = data or b""
                 if members and offset + len(data) > target:
                     yield flush()
                     serial, chunks, members, offset = serial + 1, [], [], 0
-                members.append({"file_id": ids[i], "folder": folders[i], "file_name": names[i], "offset": offset, "length": len(data), "crc32": zlib.crc32(data)})
+                members.append({"file_id": ids[i], "key": keys[i], "folder": folders[i], "file_name": names[i], "offset": offset, "length": len(data), "crc32": zlib.crc32(data)})
                 chunks.append(data)
                 offset += len(data)
         if members:
@@ -103,53 +103,68 @@ def pack_files(files: DataFrame, file_id: str = "file_id", folder: str = "folder
     map-side aggregation, so a file that makes up a third of the rows costs no
     more than any other.
     """
-    data = F.col(content).cast("binary")
-    keyed = files.select(
-        F.col(file_id).cast("bigint").alias("file_id"),
-        normal_folder(F.col(folder)).alias("folder"),
-        F.col(file_name).alias("file_name"),
-        data.alias("content"),
-        F.coalesce(F.sha2(data, 256), F.lit("null")).alias("_digest"),
-    ).withColumn("_key", F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")) for c in ("folder", "file_name", "_digest")]), 256))
+    keyed = _keyed(files.select(F.col(file_id).alias("file_id"), F.col(folder).alias("folder"), F.col(file_name).alias("file_name"), F.col(content).alias("content")))
     rows = keyed.select("file_id", "_key")
     groups = materialize(rows.groupBy("_key").agg(F.min("file_id").alias("kept_id"), F.count(F.lit(1)).alias("_rows")), "pack-groups")
-    kept = keyed.join(groups.select(F.col("kept_id").alias("file_id")), "file_id", "left_semi").dropDuplicates(["file_id", "_key"])
+    owners = groups.where(F.col("kept_id").isNotNull()).select("_key", F.col("kept_id").alias("file_id"))
+    without = keyed.where(F.col("file_id").isNull()).dropDuplicates(["_key"]).join(groups.where(F.col("kept_id").isNull()), "_key", "left_semi")
+    kept = keyed.join(owners, ["file_id", "_key"], "left_semi").dropDuplicates(["file_id", "_key"]).unionByName(without)
     blocks = materialize(
-        kept.select("file_id", "folder", "file_name", "content").repartitionByRange("folder", "file_name", "file_id").sortWithinPartitions("folder", "file_name", "file_id").mapInArrow(_pack(block_bytes), BLOCK_SCHEMA),
+        kept.select("file_id", "_key", "folder", "file_name", "content").repartitionByRange("folder", "file_name", "file_id").sortWithinPartitions("folder", "file_name", "file_id").mapInArrow(_pack(block_bytes), BLOCK_SCHEMA),
         "pack-blocks",
     )
     placed = blocks.select("block_id", F.explode("members").alias("m")).select(
-        F.col("m.file_id").alias("kept_id"), "block_id", "m.folder", "m.file_name", "m.offset", "m.length", "m.crc32"
+        F.col("m.key").alias("_key"), "block_id", "m.folder", "m.file_name", "m.offset", "m.length", "m.crc32"
     )
-    index = skew_lookup(rows, placed.join(groups, "kept_id"), ["_key"], "_rows").select(
+    index = skew_lookup(rows, placed.join(groups, "_key"), ["_key"], "_rows").select(
         "file_id", "kept_id", (F.col("file_id") != F.col("kept_id")).alias("is_copy"), "block_id", "folder", "file_name", "offset", "length", "crc32"
     )
     return Archive(blocks, index)
 
 
+def _keyed(files: DataFrame) -> DataFrame:
+    """The files with normalised folder, bytes and ``_key``, which the same files share; further columns stay."""
+    data = F.col("content").cast("binary")
+    digest = F.coalesce(F.sha2(data, 256), F.lit("null"))
+    rows = files.withColumns({"file_id": F.col("file_id").cast("bigint"), "folder": normal_folder(F.col("folder")), "content": data, "_digest": digest})
+    return rows.withColumn("_key", F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")) for c in ("folder", "file_name", "_digest")]), 256)).drop("_digest")
+
+
 def unpack_files(archive: Archive) -> DataFrame:
     """Every input row with its bytes again: (file_id, folder, file_name, content, intact)."""
-    stored = archive.blocks.select("block_id", "block", F.explode("members").alias("m")).select(
-        F.col("m.file_id").alias("kept_id"),
-        F.substring("block", F.col("m.offset").cast("int") + 1, F.col("m.length").cast("int")).alias("content"),
-    )
-    return archive.index.join(stored, "kept_id").select("file_id", "folder", "file_name", "content", (F.crc32("content") == F.col("crc32")).alias("intact"))
+    # empty files lie where the next one begins, so they are not looked up
+    stored = archive.blocks.select("block_id", "block", F.explode("members").alias("m")).where(F.col("m.length") > 0).select(
+        "block_id", "m.offset", "m.length",
+        F.substring("block", F.col("m.offset").cast("int") + 1, F.col("m.length").cast("int")).alias("_found"),
+    )
+    rows = archive.index.join(stored, ["block_id", "offset", "length"], "left").withColumn("content", F.coalesce("_found", F.lit("").cast("binary")))
+    return rows.select("file_id", "folder", "file_name", "content", (F.crc32("content") == F.col("crc32")).alias("intact"))
 
 
 def compare_with_scans(archive_index: DataFrame, files: DataFrame, scans: DataFrame) -> DataFrame:
     """Packed files and bytes of each subroot beside its latest good scan.
 
     A scan is good if its status is ``ok`` and total_files is known; of several
-    the latest counts. Subroots without a good scan have null totals, scanned
+    the latest counts. A file of which no row has an id counts for the least of its
+    subroots. Subroots without a good scan have null totals, scanned
     ones without files count 0.
     """
-    packed = (
+    with_id = (
         archive_index.where(~F.col("is_copy"))
         .select("file_id", "length")
         .join(files.select(F.col("file_id").cast("bigint").alias("file_id"), normal_folder(F.col("subroot")).alias("subroot")), "file_id")
-        .groupBy("subroot")
-        .agg(F.count(F.lit(1)).alias("packed_files"), F.sum("length").alias("packed_bytes"))
+        .select("subroot", "length")
+    )
+    keyed = _keyed(files)
+    size = F.coalesce(F.octet_length("content"), F.lit(0)).cast("bigint")
+    without_id = (
+        keyed.where(F.col("file_id").isNull())
+        .groupBy("_key")
+        .agg(F.min(normal_folder(F.col("subroot"))).alias("subroot"), F.first(size).alias("length"))
+        .join(keyed.where(F.col("file_id").isNotNull()).select("_key").distinct(), "_key", "left_anti")
+        .select("subroot", "length")
     )
+    packed = with_id.unionByName(without_id).groupBy("subroot").agg(F.count(F.lit(1)).alias("packed_files"), F.sum("length").alias("packed_bytes"))
     good = (
         scans.where((F.lower(F.trim("status")) == "ok") & F.col("total_files").isNotNull())
         .groupBy(normal_folder(F.col("subroot")).alias("subroot"))
