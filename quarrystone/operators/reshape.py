@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType
 
 from quarrystone.functions.keys import atom_element, atom_index, pair_label, pair_parts, without_suffix
 from quarrystone.functions.numbers import finite_or_zero
+from quarrystone.session import materialize
 
 MAP = "map<string,string>"
 NESTED = "map<string,map<string,string>>"
@@ -28,19 +29,21 @@ def json_members(df: DataFrame, content: str, keep: list[str]) -> DataFrame:
     return df.select(*keep, F.inline(last_members(F.from_json(content, MAP)))).withColumnsRenamed({"key": "name"})
 
 
-def flat_leaves(df: DataFrame, content: str, keep: list[str], depth: int = 4) -> DataFrame:
-    """(keep, path, value): numeric leaves of nested JSON objects under dotted paths.
+def flat_leaves(df: DataFrame, content: str, keep: list[str]) -> DataFrame:
+    """(keep, path, value): numeric leaves of nested JSON objects of any depth under dotted paths.
 
-    Booleans, text and lists are no leaves; objects deeper than ``depth`` are
-    not entered.
+    Booleans, text and lists are no leaves. The objects of each level are
+    materialized, until a level has none.
     """
     level = json_members(df, content, keep).select(*keep, F.col("name").alias("path"), "value")
     out = None
-    for _ in range(depth):
+    while True:
         leaf = level.where(F.col("value").rlike(r"^-?[0-9]")).select(*keep, "path", F.col("value").try_cast("double").alias("value")).where(F.col("value").isNotNull())
         out = leaf if out is None else out.unionByName(leaf)
-        level = level.where(F.col("value").startswith("{")).select(*keep, F.col("path").alias("_p"), F.explode(F.from_json("value", MAP)).alias("name", "value")).select(*keep, F.concat_ws(".", "_p", "name").alias("path"), "value")
-    return out
+        objects = materialize(level.where(F.col("value").startswith("{")).withColumnRenamed("path", "_p"), "leaf-objects")
+        if objects.isEmpty():
+            return out
+        level = json_members(objects, "value", [*keep, "_p"]).select(*keep, F.concat_ws(".", "_p", "name").alias("path"), "value")
 
 
 def scheme_pairs_long(df: DataFrame, content: str, keep: list[str]) -> DataFrame:
