@@ -14,6 +14,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrystone.session import materialize
+
 #: The spellings of an absent value, outer blanks and case aside.
 ABSENT = ("", "none", "null", "nan")
 #: Masks longer than this are cut and marked, so that a mask is always short.
@@ -99,29 +101,38 @@ class MaskProfile:
         """(field, load_no, mask, n, n_valid) over the present cells."""
         return cells.where(~F.col("absent")).groupBy("field", "load_no", "mask").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("valid").cast("bigint")).alias("n_valid"))
 
+    def judged(self, mask_counts: DataFrame) -> DataFrame:
+        """Every mask of a column with how its values fare: (field, mask, n, n_valid, mask_share)."""
+        per_mask = materialize(mask_counts.groupBy("field", "mask").agg(F.sum("n").alias("n"), F.sum("n_valid").alias("n_valid")), "masks")
+        per_field = per_mask.groupBy("field").agg(F.sum("n").alias("total"))
+        return per_mask.join(F.broadcast(per_field), "field").select("field", "mask", "n", "n_valid", (F.col("n") / F.col("total")).alias("mask_share"))
+
     def dominant(self, mask_counts: DataFrame) -> DataFrame:
         """The dominant masks: (field, mask, mask_share); at most 1/share per field."""
-        per_mask = mask_counts.groupBy("field", "mask").agg(F.sum("n").alias("n"))
-        per_field = per_mask.groupBy("field").agg(F.sum("n").alias("total"))
-        shares = per_mask.join(F.broadcast(per_field), "field").select("field", "mask", (F.col("n") / F.col("total")).alias("mask_share"))
-        return shares.where(F.col("mask_share") >= self.share)
+        return self.judged(mask_counts).where(F.col("mask_share") >= self.share).select("field", "mask", "mask_share")
 
     def violations(self, df: DataFrame, id_col: str, load_col: str) -> DataFrame:
         """Ill-formed cells: (row_id, load_no, field, value, mask, reason).
 
-        A present cell whose mask is rare in its column is a suspect and is
-        ill-formed unless its value is valid after all (``rare_mask``); one
-        with a dominant mask is ill-formed if its value is not valid
-        (``bad_value``). Absent cells are none. The dominant masks are at most
-        ``1/share`` per column, so their broadcast is bounded.
+        Masks decide first: a mask of which all values are valid has no
+        violations, one of which none is valid has only violations; the values
+        of a mixed mask are put to the exact rule one by one. ``rare_mask``
+        tells a mask that is rare in its column, ``bad_value`` a dominant one.
+        Absent cells are none. The dominant masks are at most ``1/share`` per
+        column, so their broadcast is bounded; cells of rare masks, none of
+        which is hot, meet theirs in a hash join.
         """
-        cells = self.cells(df, id_col, load_col)
-        usual = self.dominant(self.mask_counts(cells))
+        cells = self.cells(df, id_col, load_col).where(~F.col("absent"))
+        judged = self.judged(self.mask_counts(cells))
+        usual, suspect = F.col("mask_share") >= self.share, F.col("n_valid") < F.col("n")
+        marked = cells.join(F.broadcast(judged.where(usual)), ["field", "mask"], "left")
+        open_cells = materialize(marked.where(F.col("mask_share").isNull() | suspect), "mask-suspects")
+        frequent = open_cells.where(F.col("mask_share").isNotNull()).withColumn("reason", F.lit("bad_value"))
+        rare = open_cells.where(F.col("mask_share").isNull()).drop("n", "n_valid", "mask_share").join(judged.where(~usual & suspect), ["field", "mask"])
         return (
-            cells.where(~F.col("absent"))
-            .join(F.broadcast(usual), ["field", "mask"], "left")
-            .where(~F.col("valid"))
-            .select("row_id", "load_no", "field", "value", "mask", F.when(F.col("mask_share").isNull(), "rare_mask").otherwise("bad_value").alias("reason"))
+            frequent.unionByName(rare.withColumn("reason", F.lit("rare_mask")))
+            .where((F.col("n_valid") == 0) | ~F.col("valid"))
+            .select("row_id", "load_no", "field", "value", "mask", "reason")
         )
 
     def profile(self, df: DataFrame, id_col: str, load_col: str) -> DataFrame:
