@@ -7,31 +7,49 @@ into cells; five neighbouring words make a gram. Evaluation structures emit
 each gram with every cell its words can fall in, training structures their own
 cells only, so a near structure hits every gram of an evaluation structure:
 its containment is 1 and no link can be lost. Hits of sufficient containment
-are then superposed atom by atom.
+whose words are within their bounds are then superposed atom by atom
+(``superpose``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrystone.llm.grouped_splits import latest_records
+from quarrystone.llm.superpose import superposable
 from quarrystone.operators.skew import skew_lookup
 from quarrystone.session import materialize
 
 TOLERANCE = 0.05
 GRAM_WORDS = 5
 CONTAINMENT = 0.8
+#: Words are cut into cells this wide, or of eight tolerances if that is more; a word can then fall in two cells at most.
 CELL = 0.4
+#: Beyond what the bounds prove, for rounding.
+SLACK = 1e-6
+#: A class with more records than this is spread over several join keys.
+CLASS_ROWS = 50_000
 
 
-def shape_words(elements: np.ndarray, xyz: np.ndarray, tolerance: float) -> tuple[np.ndarray, np.ndarray]:
-    """(words, how far each can move) of one structure.
+def _radii(owner: np.ndarray, groups: int, points: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(principal radii, centre) of each group of points; ``owner`` is a point's group."""
+    centre = np.stack([np.bincount(owner, points[:, k], groups) for k in range(3)], axis=1) / sizes[:, None]
+    x = points - centre[owner]
+    spread = np.empty((groups, 3, 3))
+    for i in range(3):
+        for k in range(i, 3):
+            spread[:, i, k] = spread[:, k, i] = np.bincount(owner, x[:, i] * x[:, k], groups) / sizes
+    return np.sqrt(np.maximum(np.linalg.eigvalsh(spread)[:, ::-1], 0.0)), centre
+
+
+def shape_words(elements: np.ndarray, xyz: np.ndarray, lengths: np.ndarray, tolerance: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, how far each can move, words per structure) of structures whose atoms lie one after another.
 
     The three principal radii of all atoms; then, per element from the
     commonest on, those of its atoms and the distance of their centre from
@@ -39,129 +57,98 @@ def shape_words(elements: np.ndarray, xyz: np.ndarray, tolerance: float) -> tupl
     the root of the number of atoms, which by Weyl's inequality move no more
     than the root mean square of the atoms' moves; centres may part twice.
     """
-
-    def radii(points: np.ndarray) -> list[float]:
-        found = np.linalg.svd(points - points.mean(axis=0), compute_uv=False) / np.sqrt(len(points))
-        return [*found, 0.0, 0.0][:3]
-
-    names, counts = np.unique(elements, return_counts=True)
-    words, bounds, centre = radii(xyz), [tolerance] * 3, xyz.mean(axis=0)
-    for k in np.lexsort((names, -counts)):
-        own = xyz[elements == names[k]]
-        words += [*radii(own), float(np.linalg.norm(own.mean(axis=0) - centre))]
-        bounds += [tolerance] * 3 + [2 * tolerance]
-    return np.array(words), np.array(bounds)
-
-
-def _grams(cells: list[list[int]], at: int) -> Iterator[int]:
-    for choice in product(*cells[at : at + GRAM_WORDS]):
-        yield hash((at, *choice))
-
-
-def _gram_rows(tolerance: float, cell: float):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in batches:
-            out = []
-            for row in frame.itertuples(index=False):
-                xyz = np.column_stack([row.x, row.y, row.z])
-                words, bounds = shape_words(np.asarray(row.elements), xyz, tolerance)
-                own = [[int(c)] for c in np.floor(words / cell)]
-                slack = bounds + 1e-6
-                wide = [list(range(int(a), int(b) + 1)) for a, b in zip(np.floor((words - slack) / cell), np.floor((words + slack) / cell))]
-                positions = range(len(words) - GRAM_WORDS + 1)
-                for at in positions:
-                    if row.in_train:
-                        out += [(row.class_id, row.block, at, len(positions), False, g) for g in _grams(own, at)]
-                    if row.in_eval:
-                        out += [(row.class_id, row.block, at, len(positions), True, g) for g in _grams(wide, at)]
-            yield pd.DataFrame(out, columns=["class_id", "block", "place", "n_grams", "is_eval", "gram"])
+    n = len(lengths)
+    of = np.repeat(np.arange(n), lengths)
+    sizes = np.bincount(of, minlength=n)
+    xyz = xyz - (np.stack([np.bincount(of, xyz[:, k], n) for k in range(3)], axis=1) / sizes[:, None])[of]
+    whole, _ = _radii(of, n, xyz, sizes)
+    names, code = np.unique(elements, return_inverse=True)
+    keys, part, counts = np.unique(of * len(names) + code, return_inverse=True, return_counts=True)
+    radii, centre = _radii(part, len(keys), xyz, counts)
+    owner, name = keys // len(names), keys % len(names)
+    order = np.lexsort((name, -counts, owner))
+    kinds = np.bincount(owner, minlength=n)
+    per = 3 + 4 * kinds
+    starts = np.concatenate([[0], np.cumsum(per)])[:-1]
+    words, bounds = np.empty(per.sum()), np.full(per.sum(), tolerance)
+    words[starts[:, None] + np.arange(3)] = whole
+    rank = np.arange(len(keys)) - np.repeat(np.concatenate([[0], np.cumsum(kinds)])[:-1], kinds)
+    at = starts[owner[order]] + 3 + 4 * rank
+    words[at[:, None] + np.arange(3)] = radii[order]
+    words[at + 3] = np.linalg.norm(centre[order], axis=1)
+    bounds[at + 3] = 2 * tolerance
+    return words, bounds, per
+
+
+def _mixed(h: np.ndarray, value: np.ndarray) -> np.ndarray:
+    h = (h ^ value.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return h ^ (h >> np.uint64(29))
+
+
+def gram_table(words: np.ndarray, bounds: np.ndarray, per: np.ndarray, cell: float) -> tuple[np.ndarray, ...]:
+    """(structure, place, n_grams, is_own, gram): every gram of every structure with all the cells its words can fall in.
+
+    ``is_own`` tells the gram of the cells the words are in.
+    """
+    starts = np.concatenate([[0], np.cumsum(per)])[:-1]
+    n_grams = per - GRAM_WORDS + 1
+    of = np.repeat(np.arange(len(per)), n_grams)
+    place = np.arange(len(of)) - np.repeat(np.concatenate([[0], np.cumsum(n_grams)])[:-1], n_grams)
+    window = (starts[of] + place)[:, None] + np.arange(GRAM_WORDS)
+    own, low, high = (np.floor(x / cell).astype(np.int64) for x in (words, words - bounds - SLACK, words + bounds + SLACK))
+    parts = []
+    for choice in range(1 << GRAM_WORDS):
+        up = np.array([choice >> k & 1 for k in range(GRAM_WORDS)], bool)
+        keep = (~up | (high > low)[window]).all(axis=1)
+        if not keep.any():
+            continue
+        cells, w = np.where(up, high[window[keep]], low[window[keep]]), window[keep]
+        gram = place[keep].astype(np.uint64)
+        for k in range(GRAM_WORDS):
+            gram = _mixed(gram, cells[:, k])
+        parts.append((of[keep], place[keep], (cells == own[w]).all(axis=1), gram))
+    structure, at, is_own, gram = (np.concatenate(x) for x in zip(*parts)) if parts else (np.zeros(0, int), np.zeros(0, int), np.zeros(0, bool), np.zeros(0, np.uint64))
+    return structure, at, n_grams[structure], is_own, gram.view(np.int64)
+
+
+def _flat(column: pa.Array) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False)
+
+
+def _words(tolerance: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lengths = batch.column("elements").value_lengths().to_numpy(zero_copy_only=False)
+            words, bounds, per = shape_words(_flat(batch.column("elements")).astype(str), np.column_stack([_flat(batch.column(c)) for c in "xyz"]), lengths, tolerance)
+            offsets = pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32())
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (words, bounds)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, "words", "bounds"])
 
     return run
 
 
-# --- superposition ------------------------------------------------------------------
-def _rotation(a: np.ndarray, b: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The proper rotation (and both centres) that carries b best onto a."""
-    w = weights / weights.sum()
-    ca, cb = w @ a, w @ b
-    u, _, vt = np.linalg.svd(((b - cb) * w[:, None]).T @ (a - ca))
-    flip = np.diag([1.0, 1.0, np.sign(np.linalg.det(u @ vt)) or 1.0])
-    return u @ flip @ vt, ca, cb
-
-
-def _within(a: np.ndarray, b: np.ndarray, tolerance: float, rounds: int = 60) -> bool:
-    """Whether some rotation and shift brings every b within ``tolerance`` of its a.
+def _gram_rows(cell: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            per = batch.column("words").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+            of, place, n_grams, is_own, gram = gram_table(_flat(batch.column("words")), _flat(batch.column("bounds")), per, cell)
+            in_train, in_eval = (batch.column(c).to_numpy(zero_copy_only=False)[of] for c in ("in_train", "in_eval"))
+            up = pa.array(of)
+            for keep, is_eval in ((in_train & is_own, False), (in_eval, True)):
+                chosen = np.flatnonzero(keep)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *[batch.column(c).take(up.take(pa.array(chosen))) for c in ("class_id", "block")],
+                        pa.array(place[chosen], pa.int32()), pa.array(n_grams[chosen], pa.int32()), pa.array(np.full(len(chosen), is_eval)), pa.array(gram[chosen]),
+                    ],
+                    names=["class_id", "block", "place", "n_grams", "is_eval", "gram"],
+                )
 
-    Least squares first; then atoms that lie farthest gain weight round by
-    round, which approaches the smallest largest distance.
-    """
-    w = np.ones(len(a))
-    for _ in range(rounds):
-        r, ca, cb = _rotation(a, b, w)
-        off = np.linalg.norm((b - cb) @ r + ca - a, axis=1)
-        if off.max() <= tolerance + 1e-9:
-            return True
-        if off.max() > 8 * tolerance or np.average(off, weights=w) > tolerance + 1e-9:  # a weighted mean bounds the best maximum from below
-            return False
-        w = w * (off / off.max() + 1e-3)
-        w /= w.sum()
-    return False
-
-
-def _pairing(allowed: np.ndarray) -> np.ndarray | None:
-    """A one-to-one choice of allowed columns for all rows, None if there is none."""
-    n = len(allowed)
-    owner = np.full(n, -1)
-
-    def find(i: int, seen: set[int]) -> bool:
-        for j in np.flatnonzero(allowed[i]):
-            if j not in seen:
-                seen.add(j)
-                if owner[j] < 0 or find(owner[j], seen):
-                    owner[j] = i
-                    return True
-        return False
-
-    for i in range(n):
-        if not find(i, set()):
-            return None
-    out = np.empty(n, int)
-    out[owner] = np.arange(n)
-    return out
-
-
-def superposable(ea: np.ndarray, a: np.ndarray, eb: np.ndarray, b: np.ndarray, tolerance: float = TOLERANCE) -> bool:
-    """Whether the atoms pair one to one within elements so that after one rotation and shift no pair is farther apart than ``tolerance``."""
-    n = len(a)
-    if n != len(b) or n == 0 or sorted(ea) != sorted(eb):
-        return False
-    if (ea == eb).all() and _within(a, b, tolerance):
-        return True
-    da, db = (np.linalg.norm(x[:, None] - x[None], axis=2) for x in (a, b))
-    fits = ea[:, None] == eb[None]
-    for e in np.unique(ea):
-        sa, sb = np.sort(da[:, ea == e], axis=1), np.sort(db[:, eb == e], axis=1)
-        fits &= np.abs(sa[:, None] - sb[None]).max(axis=2) <= 2 * tolerance + 1e-9
-    if not fits.any(axis=1).all() or not fits.any(axis=0).all():
-        return False
-    # three atoms, of few candidates each and wide apart, fix the motion
-    rare = fits.sum(axis=1)
-    i1 = int(np.lexsort((-da.sum(axis=1), rare))[0])
-    i2 = int(np.lexsort((-da[i1], rare + 1000.0 * (da[i1] < 0.4 * da[i1].max())))[0])
-    cross = np.linalg.norm(np.cross(a - a[i1], a[i2] - a[i1]), axis=1)
-    i3 = int(np.lexsort((-cross, rare + 1000.0 * (cross < 0.5 * cross.max())))[0])
-    anchors = list(dict.fromkeys([i1, i2, i3]))
-    reach = 2 * tolerance + 1e-9
-    for choice in product(*[np.flatnonzero(fits[i]) for i in anchors]):
-        if len(set(choice)) < len(choice) or any(abs(da[i, k] - db[j, m]) > reach for i, j in zip(anchors, choice) for k, m in zip(anchors, choice)):
-            continue
-        r, ca, cb = _rotation(a[anchors], b[list(choice)], np.ones(len(anchors)))
-        apart = np.linalg.norm(a[:, None] - ((b - cb) @ r + ca)[None], axis=2)
-        for radius in (3 * tolerance, 8 * tolerance):
-            paired = _pairing(fits & (apart <= radius))
-            if paired is not None and _within(a, b[paired], tolerance):
-                return True
-    return False
+    return run
 
 
 def _verify(tolerance: float):
@@ -205,16 +192,21 @@ class SplitOverlap:
         )
         self.sizes = materialize(grouped, "overlap-sizes")
         block = F.xxhash64(F.array_sort("elements"), "charge", "spin")
-        self.classes = materialize(
+        classes = (
             self.sizes.join(self.members.drop("class_id"), "struct_id")
             .select("class_id", "in_train", "in_eval", "charge", "spin", F.col("atoms.e").alias("elements"), F.col("atoms.x").alias("x"), F.col("atoms.y").alias("y"), F.col("atoms.z").alias("z"))
-            .withColumn("block", block).drop("charge", "spin"),
-            "overlap-classes",
+            .withColumn("block", block).drop("charge", "spin")
         )
+        schema = "class_id bigint, in_train boolean, in_eval boolean, elements array<string>, x array<double>, y array<double>, z array<double>, block bigint, words array<double>, bounds array<double>"
+        self.classes = materialize(classes.mapInArrow(_words(tolerance), schema), "overlap-classes")
 
     def hits(self) -> DataFrame:
-        """(train_class, eval_class, containment) of at least CONTAINMENT."""
-        rows = self.classes.mapInPandas(_gram_rows(self.tolerance, CELL), "class_id bigint, block bigint, place int, n_grams int, is_eval boolean, gram bigint")
+        """(train_class, eval_class, containment) of at least CONTAINMENT.
+
+        The gram join is a sort-merge join, whose hot grams adaptive execution splits.
+        """
+        slim = self.classes.select("class_id", "block", "in_train", "in_eval", "words", "bounds")
+        rows = slim.mapInArrow(_gram_rows(max(CELL, 8 * self.tolerance)), "class_id bigint, block bigint, place int, n_grams int, is_eval boolean, gram bigint")
         rows = materialize(rows, "overlap-grams")
         train = rows.where(~F.col("is_eval")).select(F.col("class_id").alias("train_class"), "block", "place", "gram")
         evaluation = rows.where("is_eval").select(F.col("class_id").alias("eval_class"), "block", "place", "n_grams", "gram")
@@ -229,21 +221,37 @@ class SplitOverlap:
         """(train_class, eval_class, containment): classes that can be superposed."""
 
         def side(letter: str, name: str) -> DataFrame:
-            return self.classes.select(F.col("class_id").alias(name), F.col("elements").alias(f"e{letter}"), *[F.col(c).alias(f"{c}{letter}") for c in "xyz"])
+            return self.classes.select(F.col("class_id").alias(name), F.col("elements").alias(f"e{letter}"), *[F.col(c).alias(f"{c}{letter}") for c in "xyz"], F.col("words").alias(f"w{letter}"), F.col("bounds").alias(f"r{letter}"))
 
         hits = self.hits()
         same = hits.where(F.col("train_class") == F.col("eval_class"))
         other = hits.where(F.col("train_class") != F.col("eval_class")).join(side("a", "train_class"), "train_class").join(side("b", "eval_class"), "eval_class")
-        return same.unionByName(other.mapInPandas(_verify(self.tolerance), "train_class bigint, eval_class bigint, containment double"))
+        apart = F.zip_with("wa", "wb", lambda a, b: F.abs(a - b))
+        close = other.where(F.forall(F.arrays_zip(apart.alias("d"), F.col("ra").alias("r")), lambda w: w["d"] <= w["r"] + SLACK)).drop("wa", "wb", "ra", "rb")
+        return same.unionByName(close.mapInPandas(_verify(self.tolerance), "train_class bigint, eval_class bigint, containment double"))
 
     def record_pairs(self) -> DataFrame:
-        """(train_id, eval_id): every train record with every evaluation record it can be superposed on."""
-        pairs = materialize(self.class_pairs(), "overlap-pairs")
-        slim = self.members.select("class_id", "struct_id", "is_train")
-        pairs = pairs.join(self.sizes.select(F.col("class_id").alias("eval_class"), F.col("_rows")), "eval_class")
-        evaluation = slim.where(~F.col("is_train")).select(F.col("class_id").alias("eval_class"), F.col("struct_id").alias("eval_id"))
-        train = slim.where("is_train").select(F.col("class_id").alias("train_class"), F.col("struct_id").alias("train_id"))
-        return train.join(pairs.drop("_rows"), "train_class").join(evaluation, "eval_class").select("train_id", "eval_id")
+        """(train_id, eval_id): every train record with every evaluation record it can be superposed on.
+
+        The records of a class are dealt to as many salts as it has
+        CLASS_ROWS, and a pair of classes to every two salts, so no join key
+        has more than about CLASS_ROWS records of either side.
+        """
+        pairs = materialize(self.class_pairs(), "overlap-pairs").drop("containment")
+        salts = self.sizes.select("class_id", "_rows", F.ceil(F.col("_rows") / CLASS_ROWS).cast("int").alias("salts"))
+        wanted = pairs.select(F.explode(F.array("train_class", "eval_class")).alias("class_id")).distinct()
+        members = skew_lookup(self.members.select("class_id", "struct_id", "is_train"), salts.join(wanted, "class_id"), ["class_id"], "_rows")
+        members = materialize(members.select("class_id", "struct_id", "is_train", F.pmod(F.xxhash64("struct_id"), F.col("salts")).cast("int").alias("salt")), "overlap-salted")
+        dealt = pairs
+        for side in ("train", "eval"):
+            own = salts.select(F.col("class_id").alias(f"{side}_class"), F.col("salts").alias(f"_{side}"))
+            dealt = dealt.join(own, f"{side}_class").withColumn(f"{side}_salt", F.explode(F.sequence(F.lit(0), F.col(f"_{side}") - 1))).drop(f"_{side}")
+        dealt = materialize(dealt, "overlap-dealt")
+        sides = []
+        for side, mine in (("train", F.col("is_train")), ("eval", ~F.col("is_train"))):
+            own = members.where(mine).select(F.col("class_id").alias(f"{side}_class"), F.col("salt").alias(f"{side}_salt"), F.col("struct_id").alias(f"{side}_id"))
+            sides.append(dealt.join(own, [f"{side}_class", f"{side}_salt"]))
+        return sides[0].join(sides[1], ["train_class", "eval_class", "train_salt", "eval_salt"]).select("train_id", "eval_id")
 
     def report(self) -> DataFrame:
         """Per evaluation split and vertical: records, those with a relative in train, exact ones among them, links.

@@ -7,7 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from quarrystone.llm import encoding, grouped_splits, mixing, overlap, subjects
+from quarrystone.llm import encoding, grouped_splits, mixing, overlap, subjects, superpose
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
 
@@ -66,23 +66,95 @@ def _moved(e, x, seed, noise):
     return e[p], ((x + noise * d / np.linalg.norm(d, axis=1)[:, None]) @ q + 3)[p]
 
 
+def _superposable(ea, a, eb, b, tolerance=overlap.TOLERANCE):
+    return superpose.superposable(ea, a, eb, b, tolerance)
+
+
 @pytest.mark.parametrize("seed", range(12))
 def test_superposition(seed):
     e, x = _molecule(seed)
-    assert overlap.superposable(e, x, *_moved(e, x, seed, 0.049))
-    assert not overlap.superposable(e, x, e, x * [-1, 1, 1])
+    assert _superposable(e, x, *_moved(e, x, seed, 0.049))
+    assert not _superposable(e, x, e, x * [-1, 1, 1])
     y = x.copy()
     y[3] += 0.4
-    assert not overlap.superposable(e, x, *_moved(e, y, seed, 0.0))
+    assert not _superposable(e, x, *_moved(e, y, seed, 0.0))
+
+
+def _shapes(kind, rng):
+    turn = np.arange(6) * np.pi / 3
+    ring = np.column_stack([np.cos(turn), np.sin(turn), 0 * turn])
+    if kind == "ring":
+        return np.repeat(["c", "h"], 6), np.concatenate([1.39 * ring, 2.48 * ring])
+    if kind == "line":
+        n = int(rng.integers(2, 9))
+        return np.array(["c"] * n), np.outer(np.arange(n) * 1.3, [1, 0, 0])
+    if kind == "alike":
+        n = int(rng.integers(8, 13))
+        return np.array(["c"] * n), rng.normal(0, 0.6, (n, 3))
+    n = int(rng.integers(1, 21))
+    return rng.choice(list("cho"), n), rng.normal(0, 2, (n, 3))
+
+
+@pytest.mark.parametrize("kind", ["ring", "line", "alike", "mixed"])
+def test_no_copy_near_the_tolerance_is_missed(kind):
+    rng = np.random.default_rng(7)
+    missed = 0
+    for i in range(250):
+        e, x = _shapes(kind, rng)
+        missed += not _superposable(e, x, *_moved(e, x, i, 0.0499))
+    assert missed == 0
+
+
+@pytest.mark.parametrize("kind", ["ring", "line", "mixed"])
+def test_both_sides_of_the_least_tolerance(kind):
+    """The least tolerance at which a pairing holds is bracketed: nothing below it is accepted, everything above is."""
+    rng = np.random.default_rng(3)
+    for i in range(15):
+        e, x = _shapes(kind, rng)
+        y = x + rng.normal(0, 0.04, x.shape)
+        low, high = 0.0, 1.0
+        for _ in range(24):
+            middle = (low + high) / 2
+            low, high = (low, middle) if superpose.within(x, y, middle) else (middle, high)
+        plain = min(
+            np.linalg.norm((y - cb) @ r + ca - x, axis=1).max() for w in rng.dirichlet(np.ones(len(x)), 300) for r, ca, cb in [superpose.best_motion(x, y, w)]
+        )
+        assert high <= plain + 1e-6
+        for factor in (1.002, 1.02, 1.5):
+            assert superpose.within(x, y, high * factor + 1e-6) and not superpose.within(x, y, high / factor - 1e-6)
+
+
+def _words(e, x, tolerance):
+    return overlap.shape_words(e, x, np.array([len(e)]), tolerance)[:2]
 
 
 def test_words_move_within_their_bounds():
     for seed in range(40):
         e, x = _molecule(seed)
-        (a, bound), (b, _) = overlap.shape_words(e, x, 0.05), overlap.shape_words(*_moved(e, x, seed, 0.05), 0.05)
+        (a, bound), (b, _) = _words(e, x, 0.05), _words(*_moved(e, x, seed, 0.05), 0.05)
         assert (np.abs(a - b) <= bound + 1e-9).all()
 
 
+def test_grams_of_a_near_copy_are_all_hit():
+    for seed in range(40):
+        e, x = _molecule(seed, 1 + seed % 14)
+        own = {}
+        for name, (names, xyz) in {"train": (e, x), "eval": _moved(e, x, seed, 0.05)}.items():
+            words, bounds, per = overlap.shape_words(names, xyz, np.array([len(names)]), 0.05)
+            _, place, n, is_own, gram = overlap.gram_table(words, bounds, per, overlap.CELL)
+            own[name] = {(p, g) for p, g, o in zip(place, gram, is_own) if o or name == "eval"}
+            assert (n == len(words) - overlap.GRAM_WORDS + 1).all()
+        assert own["train"] <= own["eval"]
+
+
+def test_words_of_many_structures_are_those_of_each():
+    parts = [_molecule(s, 1 + s) for s in range(9)]
+    every = overlap.shape_words(np.concatenate([e for e, _ in parts]), np.concatenate([x for _, x in parts]), np.array([len(e) for e, _ in parts]), 0.05)
+    each = [_words(e, x, 0.05) for e, x in parts]
+    assert np.allclose(every[0], np.concatenate([w for w, _ in each])) and (every[1] == np.concatenate([b for _, b in each])).all()
+    assert np.allclose(each[4][0][:3], np.linalg.svd(parts[4][1] - parts[4][1].mean(axis=0), compute_uv=False) / np.sqrt(5))
+
+
 def test_overlap_finds_all_pairs(spark):
     rows = []
 
