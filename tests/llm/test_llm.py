@@ -253,12 +253,51 @@ def test_mix(spark):
 
 
 # --- subjects ---------------------------------------------------------------------------
+NOTICE = "Derived works must carry these same terms. Breach ends the grant at once; the court of the holder prevails over any clause."
+
+
 def test_votes_by_section_and_notice():
-    lexicon = subjects.Lexicon({"violin": "music", "mutex": "software", "court": "law"})
-    text = "# Copyright the maintainers; every claim goes to the court.\n\nviolinCount = 'mutex held'  # tune the violin\nint x = lastViolin;\n"
-    votes = subjects.document_votes(text, "lib/mutex.py", lexicon)
+    lexicon, codes = subjects.Lexicon({"violin": "music", "mutex": "software", "court": "law"}), subjects.Codes()
+    notices = np.sort(subjects.passages(subjects._cut(NOTICE), codes))
+    wrapped = "# " + NOTICE.replace(" once; the", "\n# once; the")
+    text = f"{wrapped}\n\nviolinCount = 'mutex held'  # tune the violin\nint x = lastViolin;\n"
+    votes = subjects.document_votes(text, "lib/mutex.py", lexicon, notices, codes)
     assert votes["music"][:3] == [2, 1, 0] and votes["software"][2:5] == [1, 1, 1] and "law" not in votes
-    assert subjects.document_votes("", "", lexicon) == {}
+    assert "law" in subjects.document_votes(text, "", lexicon, notices[:0], codes)
+    assert subjects.document_votes("", "", lexicon, notices, codes) == {}
+
+
+def test_long_words_and_texts_are_treated_like_short_ones():
+    lexicon, codes = subjects.Lexicon({"violin": "music"}), subjects.Codes()
+    none = np.zeros(0, np.int64)
+    blob = "x" + "violinA1" * 30
+    for filler in ("", "int a;\n" * 400):
+        assert subjects.document_votes(filler + blob, "", lexicon, none, codes) == {}
+        assert subjects.document_votes(filler + "f(violin);g(violin);h()", "", lexicon, none, codes)["music"][4] == 2
+    assert lexicon.get("a" * 60 + "violin") == "music"
+
+
+def test_notices_and_shared_words_are_learned(spark):
+    """A passage of many different documents is a notice, one of many copies isn't; a word two subjects use belongs to neither."""
+    words = {"music": "violin sonata tempo", "law": "statute plaintiff verdict"}
+    docs, rated = [], []
+    for i in range(80):
+        subject = "music" if i % 2 else "law"
+        own = words[subject].split()
+        body = "\n".join(f"{w}{i}x = {w}  # {own[(k + 1) % 3]} bridge number {chr(97 + i % 26)}{chr(97 + k)}q" for k, w in enumerate(own * 2))
+        docs.append((i, f"// {NOTICE}\n\n{body}", "s", "r", "f"))
+        rated.append((i, subject))
+    copy = "\n".join(f"plain words of a file that was copied often and says nothing new {c}{c}" for c in "abcdefgh")
+    docs += [(100 + i, f"{copy} {chr(97 + i)}z", "s", "r", "f") for i in range(20)]
+    rated += [(100 + i, "law") for i in range(20)]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string, source string, repo_name string, file_path string")
+    areas = spark.createDataFrame([("music",), ("law",)], "subject string")
+    model = subjects.SubjectModel(d, spark.createDataFrame(rated, "doc_id bigint, subject string"), areas)
+    notices = model.learn_notices()
+    codes = subjects.Codes()
+    assert np.isin(subjects.passages(subjects._cut(NOTICE), codes), notices).all() and not np.isin(subjects.passages(subjects._cut(copy), codes), notices).any()
+    lexicon = model.learn_lexicon(notices)
+    assert lexicon["violin"] == "music" and lexicon["statute"] == "law" and "bridge" not in lexicon and "breach" not in lexicon
 
 
 def test_subjects_of_documents(spark):
@@ -279,3 +318,15 @@ def test_subjects_of_documents(spark):
 def test_latent_model_on_no_patterns():
     empty = pd.DataFrame({f: pd.Series(dtype=int) for f in (*subjects.FUNCTIONS, "n")})
     assert 0 < subjects.LatentModel.learn(empty).prior < 1
+
+
+def test_latent_model_finds_who_is_right():
+    rng = np.random.default_rng(0)
+    truth = rng.random(20_000) < 0.4
+    body = np.where(truth, rng.integers(60, 140, 20_000), rng.integers(0, 60, 20_000))
+    rater = np.where(rng.random(20_000) < 0.2, np.where(rng.random(20_000) < 0.95, truth, ~truth) + 1, 0)
+    rows = pd.DataFrame({"body": body, "address": rng.integers(0, 3, 20_000), "source": rng.integers(0, 9, 20_000), "rater": rater, "truth": truth})
+    patterns = rows.groupby(list(subjects.FUNCTIONS)).agg(n=("truth", "size")).reset_index()
+    model = subjects.LatentModel.learn(patterns)
+    logit = np.log(model.prior / (1 - model.prior)) + sum(np.log(t[0] / t[1])[rows[f]] for f, t in model.tables.items())
+    assert ((logit > 0) == truth).mean() > 0.97
