@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrystone.functions.numbers import correlation, correlation_from_sums, finite
-from quarrystone.operators.quantiles import exact_quantiles
+from quarrystone.functions.vectors import all_finite, cosine, norm
+from quarrystone.operators.quantiles import _levels, _null_safe, exact_quantiles, top_rows
 
 
 def scheme_pairs(df: DataFrame, schemes: dict[str, Column], keep: list[str]) -> DataFrame:
@@ -19,17 +20,9 @@ def scheme_pairs(df: DataFrame, schemes: dict[str, Column], keep: list[str]) ->
     return df.select(*keep, F.inline(pairs)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
 
 
-def _levels(df: DataFrame, group: str) -> DataFrame:
-    """Every row for its group and, where ``_all`` is 1, once more for all groups; null groups have no rows of their own."""
-    none = F.lit(None).cast(df.schema[group].dataType)
-    both = F.array(F.struct(F.lit(0).alias("_all"), F.col(group).alias(group)), F.struct(F.lit(1).alias("_all"), none.alias(group)))
-    rest = [c for c in df.columns if c != group]
-    return df.select(*rest, F.inline(both)).where((F.col("_all") == 1) | F.col(group).isNotNull())
-
-
 def residual_quantiles(pairs: DataFrame, group: str, residual: str = "residual") -> DataFrame:
     """(scheme_a, scheme_b, group, _all, n_obs, quantiles): quartiles of the residuals per pair and group and over all groups."""
-    return exact_quantiles(_levels(pairs.select("scheme_a", "scheme_b", group, residual), group), ["scheme_a", "scheme_b", "_all", group], residual, [0.25, 0.5, 0.75]).withColumnRenamed("n", "n_obs")
+    return exact_quantiles(pairs, ["scheme_a", "scheme_b", group], residual, [0.25, 0.5, 0.75], overall=group).withColumnRenamed("n", "n_obs")
 
 
 def pair_agreement(df: DataFrame, schemes: dict[str, Column], group: str) -> DataFrame:
@@ -73,8 +66,7 @@ def noise_floor(df: DataFrame, schemes: dict[str, Column], group: str, key: str,
     """Median and spread of absolute residuals per scheme pair, over all rows and per group, with the keys that disagree most."""
     pairs = scheme_pairs(df, schemes, [group, key]).select(group, key, "scheme_a", "scheme_b", F.abs(F.col("a") - F.col("b")).alias("residual"))
     # the highest of all groups are among the highest of each
-    order = Window.partitionBy("scheme_a", "scheme_b", group).orderBy(F.desc("residual"), F.col(key))
-    highest = pairs.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= k).drop("_r")
+    highest = top_rows(pairs, ["scheme_a", "scheme_b", group], "residual", key, k)
     tops = top_keys(_levels(highest, group), ["scheme_a", "scheme_b", "_all", group], key, F.col("residual"), k)
     return _beside(residual_quantiles(pairs, group), tops, group).select(
         "scheme_a", "scheme_b", group, F.col("quantiles")[1].alias("mar"), (F.col("quantiles")[2] - F.col("quantiles")[0]).alias("iqr"), "n_obs", "top_keys"
@@ -85,8 +77,7 @@ def exemplars(df: DataFrame, schemes: dict[str, Column], group: str, key: str, k
     """The ``k`` rows of each group with the widest spread over at least two finite schemes; ties by key."""
     values = F.filter(F.array(*[finite(c) for c in schemes.values()]), lambda x: x.isNotNull())
     spread = df.select(group, key, values.alias("_v")).where((F.size("_v") >= 2) & F.col(group).isNotNull()).select(group, key, (F.array_max("_v") - F.array_min("_v")).alias("spread"))
-    order = Window.partitionBy(group).orderBy(F.desc("spread"), F.col(key))
-    return spread.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return top_rows(spread, [group], "spread", key, k)
 
 
 def redundancy(df: DataFrame, descriptors: dict[str, Column], group: str, least: int = 2) -> DataFrame:
@@ -104,9 +95,28 @@ def scheme_weighted_floor(floors: DataFrame, by: list[str], value: str = "mar",
 
 
 def vector_agreement(df: DataFrame, vectors: dict[str, Column], group: str) -> DataFrame:
-    """Per pair of vector columns and group: n and the 50th and 10th percentile of the cosine."""
-    from quarrystone.functions.vectors import cosine
+    """Per pair of vector columns and group: rows with a cosine, its median and 10th percentile, and Pearson's r of the lengths.
+
+    A vector must be finite; the cosine also needs vectors of one length that
+    are not zero. Lengths count where both vectors are finite.
+    """
+    pairs = F.array(
+        *[
+            F.struct(
+                F.lit(x).alias("scheme_a"), F.lit(y).alias("scheme_b"), cosine(vectors[x], vectors[y]).alias("cosine"),
+                F.when(all_finite(vectors[x]), norm(vectors[x])).alias("a"), F.when(all_finite(vectors[y]), norm(vectors[y])).alias("b"),
+            )
+            for x, y in combinations(list(vectors), 2)
+        ]
+    )
+    long = df.select(group, F.inline(pairs)).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+    keys = ["scheme_a", "scheme_b", group]
+    sums = long.groupBy(*keys).agg(F.count("cosine").alias("n"), F.count(F.lit(1)).alias("n_lengths"), correlation(F.col("a"), F.col("b")).alias("pearson"))
+    found = exact_quantiles(long, keys, "cosine", [0.5, 0.1]).drop("n")
+    return _null_safe(sums, found, keys, "left").select(*keys, "n", F.col("quantiles")[0].alias("cosine_p50"), F.col("quantiles")[1].alias("cosine_p10"), "n_lengths", "pearson")
+
 
-    pairs = F.array(*[F.struct(F.lit(x).alias("scheme_a"), F.lit(y).alias("scheme_b"), cosine(vectors[x], vectors[y]).alias("cosine")) for x, y in combinations(list(vectors), 2)])
-    long = df.select(group, F.inline(pairs)).where(F.col("cosine").isNotNull())
-    return long.groupBy("scheme_a", "scheme_b", group).agg(F.count(F.lit(1)).alias("n"), F.percentile("cosine", 0.5).alias("cosine_p50"), F.percentile("cosine", 0.1).alias("cosine_p10"))
+def pair_medians(pairs: DataFrame, by: list[str]) -> DataFrame:
+    """(by, mar, n_obs): median absolute residual and rows of each group of scheme pairs."""
+    residuals = pairs.select(*by, F.abs(F.col("a") - F.col("b")).alias("residual"))
+    return exact_quantiles(residuals, by, "residual", [0.5]).select(*by, F.col("quantiles")[0].alias("mar"), F.col("n").alias("n_obs"))

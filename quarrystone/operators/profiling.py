@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarrystone.functions.numbers import correlation, finite, signed_log
+from quarrystone.operators.quantiles import _null_safe, exact_quantiles
 
 QUANTILES = (0.05, 0.25, 0.5, 0.75, 0.95)
 
@@ -22,9 +23,10 @@ def numeric_profile(df: DataFrame, columns: list[str], by: list[str] = ()) -> Da
     long = unpivot(df, columns, list(by)).withColumn("x", finite(F.col("value")))
     out = long.groupBy(*by, "name").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("x").alias("n_finite"), F.count_if(F.isnan("value")).alias("n_nan"), F.count_if(F.abs("value") == float("inf")).alias("n_inf"),
-        F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"), F.percentile("x", F.array(*map(F.lit, QUANTILES))).alias("_q"),
+        F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.min("x").alias("min"), F.max("x").alias("max"),
     )
-    return out.select(*by, "name", "n_rows", "n_finite", "n_nan", "n_inf", "mean", "std", "min", "max", *[F.col("_q")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(QUANTILES)])
+    out = _null_safe(out, exact_quantiles(long, [*by, "name"], "x", list(QUANTILES)).drop("n"), [*by, "name"], "left")
+    return out.select(*by, "name", "n_rows", "n_finite", "n_nan", "n_inf", "mean", "std", "min", "max", *[F.col("quantiles")[i].alias(f"p{int(q * 100)}") for i, q in enumerate(QUANTILES)])
 
 
 def range_summary(profile: DataFrame) -> DataFrame:
@@ -44,7 +46,7 @@ def histogram(df: DataFrame, column: str, bins: int, low: float = 0.01, high: fl
     values = df.select(finite(F.col(column)).alias("x")).where(F.col("x").isNotNull())
     if log:
         values = values.select(signed_log(F.col("x")).alias("x"))
-    bounds = values.agg(F.percentile("x", F.array(F.lit(low), F.lit(high))).alias("b")).select(F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi"))
+    bounds = exact_quantiles(values, [], "x", [low, high]).select(F.col("quantiles")[0].alias("lo"), F.col("quantiles")[1].alias("hi"))
     inside = values.join(F.broadcast(bounds)).where(F.col("x").between(F.col("lo"), F.col("hi")))
     place = F.least(F.lit(bins), F.floor(F.try_divide((F.col("x") - F.col("lo")) * bins, F.col("hi") - F.col("lo"))).cast("int") + 1)
     return inside.select(F.coalesce(place, F.lit(1)).alias("bin")).groupBy("bin").agg(F.count(F.lit(1)).alias("n"))
@@ -73,15 +75,16 @@ def top_group_distribution(df: DataFrame, group: str, value: str, top: int) -> D
     """Quartiles of the finite values of the ``top`` groups by rows (NaN rows count in the ranking, groups without finite values drop out after it)."""
     largest = df.where(F.col(group).isNotNull()).groupBy(group).agg(F.count(F.lit(1)).alias("n_rows")).orderBy(F.desc("n_rows"), group).limit(top)
     x = finite(F.col(value))
-    rows = df.join(F.broadcast(largest), group).groupBy(group).agg(F.first("n_rows").alias("n_rows"), F.count(x).alias("n_finite"), F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("_q"))
-    return rows.where(F.col("n_finite") > 0).select(group, "n_rows", "n_finite", *[F.col("_q")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
+    rows = df.select(group, x.alias("_x")).join(F.broadcast(largest), group)  # ``top`` rows
+    found = exact_quantiles(rows, [group, "n_rows"], "_x", [0.25, 0.5, 0.75])
+    return found.select(group, "n_rows", F.col("n").alias("n_finite"), *[F.col("quantiles")[i].alias(f"p{p}") for i, p in enumerate((25, 50, 75))])
 
 
 def clipped_values(df: DataFrame, label: str, value: str, low: float, high: float) -> DataFrame:
     """Per label: bounds at two percentiles, how many finite values lie within (inclusive), their mean."""
     rows = df.select(label, finite(F.col(value)).alias("x")).where(F.col("x").isNotNull())
-    bounds = rows.groupBy(label).agg(F.percentile("x", F.array(F.lit(low), F.lit(high))).alias("b")).select(F.col(label).alias("_l"), F.col("b")[0].alias("low"), F.col("b")[1].alias("high"))
-    inside = rows.join(bounds, rows[label].eqNullSafe(bounds["_l"])).where(F.col("x").between(F.col("low"), F.col("high")))
+    bounds = exact_quantiles(rows, [label], "x", [low, high]).select(label, F.col("quantiles")[0].alias("low"), F.col("quantiles")[1].alias("high"))
+    inside = _null_safe(rows, bounds, [label]).where(F.col("x").between(F.col("low"), F.col("high")))
     return inside.groupBy(label, "low", "high").agg(F.count(F.lit(1)).alias("n"), F.avg("x").alias("mean"))
 
 

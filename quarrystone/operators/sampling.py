@@ -13,6 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrystone.operators.quantiles import with_running_sum
 from quarrystone.session import materialize
 
 BUCKETS = 10_000
@@ -81,23 +82,29 @@ def fixed_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(hash_order(F.col(key), seed), key).limit(n)
 
 
-def quota_sample(df: DataFrame, by: list[str], key: str, quota: Column, seed: int) -> DataFrame:
-    """At most ``quota`` (an expression over ``by`` columns or a literal) rows of each group, in seeded order."""
-    w = Window.partitionBy(*by).orderBy(hash_order(F.col(key), seed), key)
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= quota).drop("_n")
+def quota_sample(df: DataFrame, by: list[str], key: str, quota: Column | int, seed: int) -> DataFrame:
+    """At most ``quota`` (a number, or an expression over columns of ``df``) rows of each group, in seeded order.
+
+    A number is pushed below the shuffle as a limit per group; for an
+    expression the rows are numbered in ranges, so no task sorts a group.
+    """
+    if isinstance(quota, int):
+        w = Window.partitionBy(*by).orderBy(hash_order(F.col(key), seed), key)
+        return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") <= quota).drop("_n")
+    return with_running_sum(df, by, [hash_order(F.col(key), seed), F.col(key)], F.lit(1), "_before").where(F.col("_before") < quota).drop("_before")
 
 
 def class_quota_sample(df: DataFrame, cls: str, part: str, key: str, per_class: int, seed: int) -> DataFrame:
     """ceil(per_class / parts of the class) rows of every part of a class."""
     parts = df.groupBy(cls).agg(F.countDistinct(part).alias("_parts"))
-    return quota_sample(df.join(F.broadcast(parts), cls), [cls, part], key, F.ceil(F.lit(per_class) / F.col("_parts")), seed).drop("_parts")
+    return quota_sample(df.join(parts, cls), [cls, part], key, F.ceil(F.lit(per_class) / F.col("_parts")), seed).drop("_parts")
 
 
 def complement_sample(df: DataFrame, taken: DataFrame, by: str, key: str, fraction: float, seed: int) -> DataFrame:
     """Of the rows not taken, max(1, round(fraction * n)) of each group."""
     rest = df.join(taken.select(key), key, "left_anti")
     sizes = rest.groupBy(by).agg(F.greatest(F.lit(1), F.floor(fraction * F.count(F.lit(1)) + 0.5)).alias("_quota"))
-    return quota_sample(rest.join(F.broadcast(sizes), by), [by], key, F.col("_quota"), seed).drop("_quota")
+    return quota_sample(rest.join(sizes, by), [by], key, F.col("_quota"), seed).drop("_quota")
 
 
 def band(size: Column, edges: list[float]) -> Column:
@@ -124,8 +131,7 @@ def matched_records(pairs: DataFrame, chosen: DataFrame, pair: str, record: list
 def greedy_prefix(df: DataFrame, by: str, item: str, target: Column, seed: int | str) -> DataFrame:
     """(by, item, n): items in seeded order until their rows reach ``target``, the crossing item included."""
     counts = df.groupBy(by, item).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(by).orderBy(hash_order(F.col(item), seed), item).rowsBetween(Window.unboundedPreceding, -1)
-    return counts.withColumn("_before", F.coalesce(F.sum("n").over(w), F.lit(0))).where(F.col("_before") < target).drop("_before")
+    return with_running_sum(counts, [by], [hash_order(F.col(item), seed), F.col(item)], F.col("n"), "_before").where(F.col("_before") < target).drop("_before")
 
 
 def split_deviation(assigned: DataFrame, by: list[str], ratios: dict[str, float], warn: float = 0.05) -> DataFrame:

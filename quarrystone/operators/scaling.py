@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrystone.functions.numbers import finite
+from quarrystone.operators.quantiles import _null_safe, exact_quantiles
 
 
 def fit_partial(df: DataFrame, columns: list[str], by: list[str] = ()) -> DataFrame:
@@ -55,7 +56,12 @@ def impute(df: DataFrame, columns: list[str], strategy: str = "median", fill: fl
         return df.where(missing == 0).withColumn("n_imputed", F.lit(0))
     if strategy == "fill":
         return df.withColumn("n_imputed", missing).withColumns({c: F.coalesce(known[c], F.lit(fill)) for c in columns})
-    middle = df.agg(*[(F.percentile(known[c], 0.5) if strategy == "median" else F.avg(known[c])).alias(f"_m_{c}") for c in columns])
+    if strategy == "median":
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), known[c].alias("x")) for c in columns])))
+        found = exact_quantiles(long, ["name"], "x", [0.5])
+        middle = found.agg(*[F.max(F.when(F.col("name") == c, F.col("quantiles")[0])).alias(f"_m_{c}") for c in columns])
+    else:
+        middle = df.agg(*[F.avg(known[c]).alias(f"_m_{c}") for c in columns])
     out = df.withColumn("n_imputed", missing).join(F.broadcast(middle))
     return out.withColumns({c: F.coalesce(finite(F.col(c)), F.col(f"_m_{c}"), F.lit(fill)) for c in columns}).drop(*[f"_m_{c}" for c in columns])
 
@@ -63,4 +69,5 @@ def impute(df: DataFrame, columns: list[str], strategy: str = "median", fill: fl
 def imputation_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """(name, n_missing, mean, median) per column."""
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), finite(F.col(c)).alias("x")) for c in columns])))
-    return long.groupBy("name").agg(F.count_if(F.col("x").isNull()).alias("n_missing"), F.avg("x").alias("mean"), F.percentile("x", 0.5).alias("median"))
+    counts = long.groupBy("name").agg(F.count_if(F.col("x").isNull()).alias("n_missing"), F.avg("x").alias("mean"))
+    return _null_safe(counts, exact_quantiles(long, ["name"], "x", [0.5]).drop("n"), ["name"], "left").select("name", "n_missing", "mean", F.col("quantiles")[0].alias("median"))

@@ -71,7 +71,7 @@ SELECT l_returnflag, scheme, CAST(sum(n_obs) AS BIGINT) AS n, round(sum(mar * n_
 """)
 def scheme_weighted_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = agreement.scheme_pairs(load(spark, sf_dir, "lineitem"), _schemes(), ["l_returnflag"])
-    floors = pairs.groupBy("scheme_a", "scheme_b", "l_returnflag").agg(F.percentile(F.abs(F.col("a") - F.col("b")), 0.5).alias("mar"), F.count(F.lit(1)).alias("n_obs"))
+    floors = agreement.pair_medians(pairs, ["scheme_a", "scheme_b", "l_returnflag"])
     return _rounded(agreement.scheme_weighted_floor(floors, ["l_returnflag"]), 6, "weighted_mar")
 
 
@@ -81,7 +81,7 @@ SELECT l_returnflag, round(median(mar), 6) AS floor, max(n_obs) AS n_obs FROM f
 """)
 def floor_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = agreement.scheme_pairs(load(spark, sf_dir, "lineitem"), _schemes(), ["l_returnflag"])
-    floors = pairs.groupBy("scheme_a", "scheme_b", "l_returnflag").agg(F.percentile(F.abs(F.col("a") - F.col("b")), 0.5).alias("mar"), F.count(F.lit(1)).alias("n_obs"))
+    floors = agreement.pair_medians(pairs, ["scheme_a", "scheme_b", "l_returnflag"])
     return floors.groupBy("l_returnflag").agg(F.round(F.percentile("mar", 0.5), 6).alias("floor"), F.max("n_obs").alias("n_obs")).orderBy("l_returnflag")
 
 

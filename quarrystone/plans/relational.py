@@ -261,7 +261,7 @@ def fixed_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH r AS (SELECT vec_id, label, row_number() OVER (PARTITION BY label ORDER BY sha256(vec_id::VARCHAR || '_42'), vec_id) AS n FROM embeddings) SELECT vec_id, label FROM r WHERE n <= 20
 """)
 def balanced_downsample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampling.quota_sample(load(spark, sf_dir, "embeddings").select("vec_id", "label"), ["label"], "vec_id", F.lit(20), 42)
+    return sampling.quota_sample(load(spark, sf_dir, "embeddings").select("vec_id", "label"), ["label"], "vec_id", 20, 42)
 
 
 @query("""
