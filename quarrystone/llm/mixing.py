@@ -3,9 +3,10 @@
 The mix has a number of blocks of equal size in tokens. Sainte-Laguë's rule,
 the highest quotients target / (2 k + 1), allots them to sources, no source
 above what it may be repeated; the same rule allots a source's blocks to its
-shards by their tokens. Within a shard, documents lie in a seeded order cut
-into blocks, of which as many are taken as the shard's quota says, once more
-round for every repetition.
+shards by their tokens. The last block of a source or shard may be smaller, so
+that none is too small to take part. Within a shard, documents lie in a seeded
+order cut into blocks; they are taken from its start until the shard's quota is
+reached, once more round for every repetition.
 """
 
 from __future__ import annotations
@@ -13,14 +14,15 @@ from __future__ import annotations
 import heapq
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrystone.llm.encoding import VOCABULARY, count_tokens
+from quarrystone.operators.quantiles import with_running_sum
 from quarrystone.session import materialize
 
 BLOCK_TOKENS = 2_048
-#: Tokens of a shard, and shards of a source at most; a shard is what one task orders.
+#: Tokens of a shard, and shards of a source at most (their sizes reach the driver; larger shards are ordered in ranges).
 SHARD_TOKENS, MAX_SHARDS = 2_000_000, 4_096
 
 
@@ -87,8 +89,8 @@ class SourceMix:
     def _quotas(self) -> dict[str, int]:
         names = sorted(self.targets)
         weights = np.array([self.targets[s][0] for s in names])
-        caps = np.array([self.targets[s][1] * self.available.get(s, 0) // self.block for s in names])
-        return dict(zip(names, map(int, sainte_lague(weights, caps, self.total // self.block)))) if names else {}
+        caps = np.array([-(-self.targets[s][1] * self.available.get(s, 0) // self.block) for s in names])
+        return dict(zip(names, map(int, sainte_lague(weights, caps, -(-self.total // self.block))))) if names else {}
 
     def _shards(self, source: str) -> int:
         return int(min(MAX_SHARDS, max(1, self.available.get(source, 0) // SHARD_TOKENS)))
@@ -109,8 +111,8 @@ class SourceMix:
             repeats = self.targets[source][1]
             rows += [(source, shard, int(q) * self.block, int(size), repeats) for (shard, size), q in zip(own, sainte_lague(n, np.ceil(repeats * n / self.block), quota))]
         quotas = spark.createDataFrame(rows, "source string, shard int, quota bigint, shard_tokens bigint, repeats int")
-        order = Window.partitionBy("source", "shard").orderBy(F.xxhash64("doc_id", F.lit(self.seed + 1)), "doc_id")
-        placed = sharded.withColumn("before", F.sum("n_tokens").over(order) - F.col("n_tokens")).join(F.broadcast(quotas), ["source", "shard"])
+        ordered = with_running_sum(sharded, ["source", "shard"], [F.xxhash64("doc_id", F.lit(self.seed + 1)), F.col("doc_id")], F.col("n_tokens"))
+        placed = ordered.join(F.broadcast(quotas), ["source", "shard"])  # at most MAX_SHARDS rows a source
         rounds = F.expr("quota div shard_tokens")
         rest = F.col("quota") - rounds * F.col("shard_tokens")
         # the document in which the last block ends goes in if most of it lies before that end
@@ -129,5 +131,5 @@ class SourceMix:
         total = joined.agg(F.sum("mixed_tokens").alias("_all"))
         return joined.join(F.broadcast(total)).select(
             "source", "target_share", F.try_divide("mixed_tokens", "_all").alias("actual_share"), "available_tokens", "mixed_tokens", "n_documents", "max_repeats", "most_copies", "quota_blocks",
-            (F.col("quota_blocks") >= F.floor(F.col("max_repeats") * F.col("available_tokens") / self.block)).alias("capped"),
+            (F.col("quota_blocks") >= F.ceil(F.col("max_repeats") * F.col("available_tokens") / self.block)).alias("capped"),
         )

@@ -252,6 +252,13 @@ def test_mix(spark):
     assert mixing.SourceMix(df.limit(0), targets).mixed().count() == 0
 
 
+def test_a_source_smaller_than_a_block_takes_part(spark):
+    df = spark.createDataFrame([(i, f"word {i} " * 200, "big") for i in range(60)] + [(100, "two words", "tiny"), (101, "three more words", "tiny")], "doc_id bigint, text string, source string")
+    targets = spark.createDataFrame([("big", 0.7, 1), ("tiny", 0.3, 2)], "source string, target_share double, max_repeats int")
+    shares = {r["source"]: r for r in mixing.SourceMix(df, targets).shares().collect()}
+    assert shares["tiny"]["mixed_tokens"] == 2 * shares["tiny"]["available_tokens"] and shares["tiny"]["capped"] and shares["big"]["mixed_tokens"] > 0
+
+
 # --- subjects ---------------------------------------------------------------------------
 NOTICE = "Derived works must carry these same terms. Breach ends the grant at once; the court of the holder prevails over any clause."
 
