@@ -31,16 +31,21 @@ _STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 _GRAPH = "molecule struct<charge:string,spin_multiplicity:string,sites:array<string>>, graphs struct<adjacency:array<array<string>>>"
 _SITE = "name string, xyz array<double>"
 _LINK = "id int, weight double"
-_POINT = "element string, pos_ang string, eig_hess string, density_all double"
+_POINT = "element string, pos_ang string, eig_hess variant, density_all double"
 
 
 def _json(text: Column, schema: str) -> Column:
     return F.from_json(text, schema, _STRICT)
 
 
-def _numbers(text: Column) -> Column:
-    """A JSON list of numbers, or one bare number, as array<string> of its entries."""
-    return F.when(F.ltrim(text).startswith("["), _json(text, "array<string>")).when(text.isNotNull(), F.array(text))
+def _numbers(value: Column) -> Column:
+    """A JSON list, or one bare value, as the list of its numbers; null in the place of what is none (text and true are none)."""
+
+    def number(v: Column) -> Column:
+        return F.when(F.schema_of_variant(v).rlike(r"^(BIGINT|DOUBLE|DECIMAL)"), F.try_variant_get(v, "$", "double"))
+
+    listed = F.transform(F.try_variant_get(value, "$", "array<variant>"), number)
+    return F.when(F.startswith(F.schema_of_variant(value), F.lit("ARRAY")), listed).when(value.isNotNull(), F.array(number(value)))
 
 
 def _position(text: Column) -> Column:
@@ -70,17 +75,22 @@ def parse_records(records: DataFrame, rec_id: str = "rec_id", payload: str = "pa
 
     A record sent more than once counts once (its content does not change). A
     payload that is null, empty or not JSON as a whole has no children. A
-    record inside a list of one or under a ``qtaim`` member is unwrapped.
+    record inside a list or under a ``qtaim`` member is unwrapped; of a list of
+    several all are read, keys of the second and later ones behind their place
+    (``1:``), so that they stay apart.
     """
-    one = records.groupBy(F.col(rec_id).cast("bigint").alias("rec_id")).agg(F.max_by(payload, F.struct(F.col(payload).isNotNull(), F.col(loaded_at))).alias("payload"))
+    order = F.struct(F.col(payload).isNotNull(), F.col(loaded_at), F.col(payload))
+    one = records.groupBy(F.col(rec_id).cast("bigint").alias("rec_id")).agg(F.max_by(payload, order).alias("payload"))
     text = F.trim(F.regexp_replace("payload", r"\A[\s﻿]+", ""))
-    unlisted = F.when(text.startswith("["), F.try_element_at(_json(text, "array<string>"), F.lit(1))).otherwise(text)
-    flat = one.select("rec_id", unlisted.alias("_text")).select("rec_id", _json(F.col("_text"), "map<string,string>").alias("_top"))
+    entries = F.when(text.startswith("["), _json(text, "array<string>")).otherwise(F.array(text))
+    flat = one.select("rec_id", F.posexplode(entries).alias("_place", "_text")).select(
+        "rec_id", F.when(F.col("_place") > 0, F.concat(F.col("_place").cast("string"), F.lit(":"))).otherwise("").alias("_at"), _json(F.col("_text"), "map<string,string>").alias("_top")
+    )
     inner = F.when(F.map_contains_key("_top", F.lit("qtaim")), _json(F.try_element_at("_top", F.lit("qtaim")), "map<string,string>")).otherwise(F.col("_top"))
-    flat = flat.where(F.col("_top").isNotNull()).select("rec_id", inner.alias("_top"))
+    flat = flat.where(F.col("_top").isNotNull()).select("rec_id", "_at", inner.alias("_top"))
     points = F.transform(
         F.filter(F.map_entries("_top"), lambda e: e["key"].rlike(r"\A[0-9]+(_[0-9]+)?\z") & e["value"].isNotNull() & F.ltrim(e["value"]).startswith("{")),
-        lambda e: F.struct(e["key"].alias("key"), _json(e["value"], _POINT).alias("p")),
+        lambda e: F.struct(F.concat("_at", e["key"]).alias("key"), _json(e["value"], _POINT).alias("p")),
     )
     graphs = F.array(
         *[
@@ -89,7 +99,7 @@ def parse_records(records: DataFrame, rec_id: str = "rec_id", payload: str = "pa
         ]
     )
     graphs = F.filter(graphs, lambda g: F.ltrim(g["text"]).startswith("{"))
-    parsed = flat.select("rec_id", points.alias("points"), F.transform(graphs, lambda g: F.struct(g["side"].alias("side"), _json(g["text"], _GRAPH).alias("g"))).alias("graphs"))
+    parsed = flat.select("rec_id", points.alias("points"), F.transform(graphs, lambda g: F.struct(F.concat("_at", g["side"]).alias("side"), _json(g["text"], _GRAPH).alias("g"))).alias("graphs"))
     return parsed.select(
         "rec_id",
         F.transform(
@@ -149,8 +159,7 @@ def _flatten_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         ids, key = rec_id.take(pa.array(of_rec)), points.field("key")
         pos = points.field("pos")
         yield _emit("cp", rec_id=ids, child_key=key, parent_key=pa.nulls(len(key), pa.string()), position=pa.array(place), label=points.field("element"), value=points.field("density"), x=_axis(pos, 0), y=_axis(pos, 1), z=_axis(pos, 2))
-        eig, of_point, place = _children(points.field("eig"))
-        number = pc.cast(pc.if_else(pc.match_substring_regex(eig, r"^-?[0-9]"), eig, pa.scalar(None, pa.string())), pa.float64())
+        number, of_point, place = _children(points.field("eig"))
         keep, up = pc.is_valid(number), pa.array(of_point)
         owner = key.take(up)
         yield _emit("eig", **{c: a.filter(keep) for c, a in {"rec_id": ids.take(up), "child_key": _joined(owner, "/", pa.array(place)), "parent_key": owner, "position": pa.array(place), "value": number}.items()})
