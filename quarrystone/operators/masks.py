@@ -18,14 +18,14 @@ from quarrystone.session import materialize
 
 #: The spellings of an absent value, outer blanks and case aside.
 ABSENT = ("", "none", "null", "nan")
-#: Masks longer than this are cut and marked, so that a mask is always short.
+#: Of masks longer than this a digest stands for the rest, so that a mask is always short and no two become one.
 MASK_LENGTH = 48
 
 
 def mask_of(value: Column) -> Column:
     """The character-class mask of a text; null for null."""
     masked = F.regexp_replace(F.regexp_replace(value, r"\p{L}+", "a"), r"[0-9]+", "9")
-    return F.when(F.length(masked) > MASK_LENGTH, F.concat(F.substring(masked, 1, MASK_LENGTH), F.lit("~"))).otherwise(masked)
+    return F.when(F.length(masked) > MASK_LENGTH, F.concat(F.substring(masked, 1, MASK_LENGTH), F.lit("~"), F.hex(F.xxhash64(masked)))).otherwise(masked)
 
 
 def is_absent(value: Column) -> Column:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.operators.skew import skew_lookup
@@ -116,7 +116,7 @@ def pack_files(files: DataFrame, file_id: str = "file_id", folder: str = "folder
     placed = blocks.select("block_id", F.explode("members").alias("m")).select(
         F.col("m.key").alias("_key"), "block_id", "m.folder", "m.file_name", "m.offset", "m.length", "m.crc32"
     )
-    index = skew_lookup(rows, placed.join(groups, "_key"), ["_key"], "_rows").select(
+    index = skew_lookup(rows, materialize(placed.join(groups, "_key"), "pack-places"), ["_key"], "_rows").select(
         "file_id", "kept_id", (F.col("file_id") != F.col("kept_id")).alias("is_copy"), "block_id", "folder", "file_name", "offset", "length", "crc32"
     )
     return Archive(blocks, index)
@@ -130,17 +130,62 @@ def _keyed(files: DataFrame) -> DataFrame:
     return rows.withColumn("_key", F.sha2(F.concat_ws("\u0001", *[F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("null")) for c in ("folder", "file_name", "_digest")]), 256)).drop("_digest")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The files of each block, cut from its bytes."""
+    for batch in batches:
+        for block_id, block, members in zip(batch.column("block_id"), batch.column("block"), batch.column("members").to_pylist()):
+            data, full = memoryview(block.as_buffer()), [m for m in members if m["length"] > 0]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([block_id.as_py()] * len(full), pa.string()), pa.array([m["offset"] for m in full], pa.int64()), pa.array([m["length"] for m in full], pa.int64()),
+                    pa.array([bytes(data[m["offset"] : m["offset"] + m["length"]]) for m in full], pa.binary()),
+                ],
+                names=["block_id", "offset", "length", "_found"],
+            )
+
+
 def unpack_files(archive: Archive) -> DataFrame:
     """Every input row with its bytes again: (file_id, folder, file_name, content, intact)."""
     # empty files lie where the next one begins, so they are not looked up
-    stored = archive.blocks.select("block_id", "block", F.explode("members").alias("m")).where(F.col("m.length") > 0).select(
-        "block_id", "m.offset", "m.length",
-        F.substring("block", F.col("m.offset").cast("int") + 1, F.col("m.length").cast("int")).alias("_found"),
-    )
-    rows = archive.index.join(stored, ["block_id", "offset", "length"], "left").withColumn("content", F.coalesce("_found", F.lit("").cast("binary")))
+    stored = archive.blocks.select("block_id", "block", "members").mapInArrow(_slices, "block_id string, offset bigint, length bigint, _found binary")
+    place = ["block_id", "offset", "length"]
+    copies = archive.index.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = skew_lookup(archive.index, materialize(stored.join(copies, place), "pack-found"), place, "_rows", "left").withColumn("content", F.coalesce("_found", F.lit("").cast("binary")))
     return rows.select("file_id", "folder", "file_name", "content", (F.crc32("content") == F.col("crc32")).alias("intact"))
 
 
+def write_archive(archive: Archive, root: str, mode: str = "errorifexists") -> int:
+    """Blocks and index under ``root``, the index ordered by folder and name; how many rows the index has.
+
+    Raises where the stored blocks do not hold every different file just once.
+    """
+    archive.blocks.write.mode(mode).parquet(f"{root}/blocks")
+    archive.index.repartitionByRange("folder", "file_name").sortWithinPartitions("folder", "file_name").write.mode(mode).parquet(f"{root}/index")
+    stored = read_archive(archive.blocks.sparkSession, root)
+    held = stored.blocks.agg(F.coalesce(F.sum("n_files"), F.lit(0))).first()[0]
+    rows, different = stored.index.agg(F.count(F.lit(1)), F.count_distinct(F.struct("block_id", "offset", "length", "folder", "file_name", "crc32"))).first()
+    if held != different:
+        raise ValueError(f"{root}: {held} files stored, {different} indexed")
+    return rows
+
+
+def read_archive(spark: SparkSession, root: str) -> Archive:
+    """An archive that ``write_archive`` wrote."""
+    return Archive(spark.read.parquet(f"{root}/blocks"), spark.read.parquet(f"{root}/index"))
+
+
+def read_files(archive: Archive, wanted: DataFrame) -> DataFrame:
+    """(folder, file_name, content, intact) of the wanted (folder, file_name), however the folder is spelled; every version of a name.
+
+    Only blocks that hold a wanted file are read into tasks; names the index
+    lacks are left out.
+    """
+    names = wanted.select(normal_folder(F.col("folder")).alias("folder"), "file_name").distinct()
+    index = archive.index.join(names, ["folder", "file_name"], "left_semi").drop("file_id", "kept_id", "is_copy").distinct()
+    blocks = archive.blocks.join(index.select("block_id").distinct(), "block_id", "left_semi")
+    return unpack_files(Archive(blocks, index.withColumn("file_id", F.lit(None).cast("bigint")))).drop("file_id")
+
+
 def compare_with_scans(archive_index: DataFrame, files: DataFrame, scans: DataFrame) -> DataFrame:
     """Packed files and bytes of each subroot beside its latest good scan.
 

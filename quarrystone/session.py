@@ -36,14 +36,17 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, from ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) is a folder of
-    our own made and set.
+    Only where that setting is absent and the master is local (tests on one
+    machine) is a folder of our own made and set; on a cluster without one
+    this raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-quarrystone-"))
         current = spark.sparkContext.getCheckpointDir()
     return current.rstrip("/")

@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 
 def write_store(records: DataFrame, root: str, kind: str, mode: str = "errorifexists") -> None:
-    """Records by vertical; the schema is written even without rows."""
-    records.repartition("vertical", F.pmod(F.xxhash64("key"), F.lit(16))).write.mode(mode).partitionBy("vertical").parquet(f"{root}/{kind}")
+    """Records by vertical; the schema is written even without rows. Files have the advisory size of adaptive execution, however large a vertical is."""
+    records.hint("rebalance", "vertical").write.mode(mode).partitionBy("vertical").parquet(f"{root}/{kind}")
 
 
 def write_splits(records: DataFrame, root: str, mode: str = "errorifexists") -> None:
-    """Records by split and vertical."""
-    records.repartition("split", "vertical", F.pmod(F.xxhash64("key"), F.lit(16))).write.mode(mode).partitionBy("split", "vertical").parquet(root)
+    """Records by split and vertical, in files of the advisory size."""
+    records.hint("rebalance", "split", "vertical").write.mode(mode).partitionBy("split", "vertical").parquet(root)
 
 
 def write_manifest(manifest: DataFrame, root: str, overwrite: bool = False) -> bool:
