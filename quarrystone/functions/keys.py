@@ -83,3 +83,35 @@ def unquoted(text: Column) -> Column:
     """What stands between the first pair of quotes, the text itself if there is none."""
     inner = F.regexp_extract(text, r"""(["'])(.*?)\1""", 2)
     return F.when(text.rlike(r"""(["']).*?\1"""), inner).otherwise(text)
+
+
+def pair_as_written(key: Column) -> Column:
+    """(i, j, element_i, element_j) of a pair key, 0-based, sides as they are written; null if malformed."""
+    sides = F.split(key, "_to_")
+    a, b = F.try_element_at(sides, F.lit(1)), F.try_element_at(sides, F.lit(2))
+    i, j, ei, ej = atom_index(a), atom_index(b), atom_element(a), atom_element(b)
+    return F.when((F.size(sides) == 2) & (i >= 0) & (j >= 0), F.struct(i.alias("i"), j.alias("j"), ei.alias("element_i"), ej.alias("element_j")))
+
+
+def counted_pair(key: Column) -> Column:
+    """The two indices of a pair key in order, still counted from 1; null if malformed."""
+    p = pair_parts(key)
+    return F.when(p.isNotNull(), F.array(p["i"] + 1, p["j"] + 1))
+
+
+def without_units(text: Column) -> Column:
+    """A line without a leading ``(a.u.)``."""
+    return F.regexp_replace(text, r"^\s*\(a\.u\.\)\s*", "")
+
+
+def first_element_set(schemes: Column, names: list[str]) -> Column:
+    """Elements of the atom keys of the first named scheme that has any, in order, joined; null if none has.
+
+    ``schemes`` is a map of scheme to map of atom key to value.
+    """
+    def elements(name: str) -> Column:
+        keys = F.map_keys(F.try_element_at(schemes, F.lit(name)))
+        found = F.array_sort(F.array_distinct(F.filter(F.transform(keys, atom_element), lambda e: e.isNotNull())))
+        return F.when(F.size(found) > 0, F.array_join(found, ","))
+
+    return F.coalesce(*[elements(n) for n in names])

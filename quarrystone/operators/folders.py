@@ -63,3 +63,9 @@ def completeness(files: DataFrame, folder: str, name: str, size: str, needed: li
 def should_delete(name: Column, keep: list[str]) -> Column:
     """Files of a job that are neither results nor inputs."""
     return ~F.coalesce(name.isin(keep) | name.rlike(r"\.(json|inp|zip)$"), F.lit(False))
+
+
+def remapped(path: Column, root: str, to: str) -> Column:
+    """The path under ``to`` where it lies in ``root`` (or is it), else as it is."""
+    base = root.rstrip("/")
+    return F.when(path == base, F.lit(to.rstrip("/"))).when(path.startswith(base + "/"), F.concat(F.lit(to.rstrip("/")), F.substring(path, len(base) + 1, 1 << 30))).otherwise(path)

@@ -81,6 +81,14 @@ def exclude_keys(records: DataFrame, excluded: DataFrame, keys: list[str]) -> Da
     return records.join(excluded.select(*keys).distinct(), keys, "left_anti")
 
 
+def exclusion_misses(records: DataFrame, excluded: DataFrame, keys: list[str], by: str) -> DataFrame:
+    """(by, n_requested, n_hit, n_missed) of the keys to exclude: how many the records have."""
+    asked = excluded.select(by, *keys).distinct()
+    hit = asked.join(records.select(*keys).distinct().withColumn("_hit", F.lit(True)), keys, "left")
+    out = hit.groupBy(by).agg(F.count(F.lit(1)).alias("n_requested"), F.count("_hit").alias("n_hit"))
+    return out.withColumn("n_missed", F.col("n_requested") - F.col("n_hit"))
+
+
 def atom_pairs(atoms: DataFrame, record: list[str], index: str = "i", limit: Column | None = None) -> DataFrame:
     """Pairs i < j of atoms of a record with their distance, as columns a_*, b_*, dist.
 

@@ -82,6 +82,17 @@ def fixed_sample(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     return df.orderBy(hash_order(F.col(key), seed), key).limit(n)
 
 
+def shard_of(df: DataFrame, order: list[Column], shards: int, name: str = "shard") -> DataFrame:
+    """Rows dealt to shards in turn, in the given total order."""
+    return with_ordinal(df, order, "_i").withColumn(name, F.pmod("_i", F.lit(shards)).cast("int")).drop("_i")
+
+
+def valid_choice(df: DataFrame, key: str, valid: DataFrame, n: int, seed: int, times: int = 10) -> DataFrame:
+    """``n`` valid keys, in seeded order, out of the first ``times * n``; fewer where those have fewer."""
+    drawn = fixed_sample(df.select(key).distinct(), key, times * n, seed)
+    return fixed_sample(drawn.join(valid.select(key).distinct(), key, "left_semi"), key, n, seed)
+
+
 def quota_sample(df: DataFrame, by: list[str], key: str, quota: Column | int, seed: int) -> DataFrame:
     """At most ``quota`` (a number, or an expression over columns of ``df``) rows of each group, in seeded order.
 

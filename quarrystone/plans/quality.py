@@ -75,6 +75,18 @@ def json_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.select("file_id", quality.json_category(F.col("content")).alias("category"))
 
 
+def normal_folder_sql(column: str) -> str:
+    """SQL of a folder in one spelling, as ``packing.normal_folder`` has it."""
+    slashed = f"replace({column}, chr(92), '/')"
+    parts = f"list_transform(list_filter(string_split({slashed}, '/'), lambda p: p <> '' AND p <> '.'), lambda p: [p])"
+    step = (
+        "lambda done, part: CASE WHEN part[1] = '..' AND len(done) > 0 AND done[len(done)] <> '..' THEN done[1:len(done) - 1] "
+        f"WHEN part[1] = '..' AND starts_with({slashed}, '/') THEN done ELSE list_concat(done, part) END"
+    )
+    return f"CASE WHEN {column} IS NOT NULL THEN CASE WHEN starts_with({slashed}, '/') THEN '/' ELSE '' END || array_to_string(list_reduce(list_concat([[]::VARCHAR[]], {parts}), {step}), '/') END"
+
+
+_FOLDERS_SQL = f"WITH f AS (SELECT {normal_folder_sql('folder')} AS folder, file_name, n_bytes FROM job_files)"
 NEEDED = ("charge.json", "bond.json", "qtaim.json", "timings.json")
 
 
@@ -83,8 +95,7 @@ def _in_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "job_files").withColumn("folder", packing.normal_folder(F.col("folder")))
 
 
-@query("""
-WITH f AS (SELECT folder, file_name, n_bytes FROM job_files WHERE regexp_full_match(folder, '/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*')),
+@query(_FOLDERS_SQL + """,
 h AS (SELECT folder, list(DISTINCT file_name) FILTER (n_bytes > 0) AS have FROM f GROUP BY folder),
 m AS (SELECT folder, list_filter(['charge.json', 'bond.json', 'qtaim.json', 'timings.json'], lambda x: NOT list_contains(coalesce(have, []), x)) AS missing FROM h)
 SELECT folder, CAST(4 - len(missing) AS INTEGER) AS n_needed, array_to_string(missing, ',') AS missing, len(missing) = 0 AS complete FROM m
@@ -124,15 +135,19 @@ def folder_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folders.scan_folders(load(spark, sf_dir, "job_files"), "folder", "n_bytes")
 
 
-@query("SELECT DISTINCT folder FROM job_files WHERE regexp_full_match(folder, '/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*')")
+@query(_FOLDERS_SQL + """,
+o AS (SELECT DISTINCT folder, list_filter(string_split(folder, '/'), lambda p: p <> '') AS parts, starts_with(folder, '/') AS absolute FROM f WHERE folder IS NOT NULL),
+up AS (SELECT DISTINCT CASE WHEN absolute THEN '/' ELSE '' END || array_to_string(parts[1:u.k], '/') AS folder FROM o, unnest(range(0, len(parts))) AS u(k) WHERE absolute OR u.k > 0)
+SELECT DISTINCT regexp_replace(folder, '/generator$', '') AS folder FROM o WHERE folder NOT IN (SELECT folder FROM up)
+""")
 def leaf_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaves among the job folders and all their ancestors."""
     own = _in_folders(spark, sf_dir).select("folder").where(F.col("folder").isNotNull()).distinct()
     return folders.leaf_folders(own.unionByName(folders.parents(own, "folder")), "folder")
 
 
-@query("""
-SELECT DISTINCT replace(regexp_replace(folder, '^/scratch/omega/', ''), '/', '__') AS key FROM job_files WHERE regexp_full_match(folder, '/[A-Za-z0-9_]+(/[A-Za-z0-9_]+)*')
+@query(_FOLDERS_SQL + """
+SELECT DISTINCT replace(rtrim(CASE WHEN starts_with(folder, '/scratch/omega/') THEN folder[16:] ELSE regexp_replace(folder, '^/', '') END, '/'), '/', '__') AS key FROM f WHERE folder IS NOT NULL
 """)
 def key_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = _in_folders(spark, sf_dir).where(F.col("folder").isNotNull())
@@ -328,23 +343,27 @@ def load_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- scaling ---------------------------------------------------------------------------------
 _FEATURES = ("lagrangian_k", "eta")
 _TRAIN = """
-WITH p AS (SELECT record_key, cp_key, lagrangian_k, eta, hash_part, row_number() OVER (PARTITION BY record_key, cp_key ORDER BY loaded_at DESC) AS n FROM (SELECT *, cp_num % 10 AS hash_part FROM qtaim_cps)),
-c AS (SELECT * FROM p WHERE n = 1)
+WITH p AS (SELECT record_key, cp_key, lagrangian_k, eta, row_number() OVER (PARTITION BY record_key, cp_key ORDER BY loaded_at DESC) AS n FROM qtaim_cps),
+c AS (SELECT * FROM p WHERE n = 1),
+t0 AS (SELECT record_key, split_name, row_number() OVER (PARTITION BY struct_id ORDER BY loaded_at DESC) AS n FROM structure_store),
+train AS (SELECT DISTINCT record_key FROM t0 WHERE n = 1 AND lower(trim(split_name, ' ')) = 'train')
 """
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = profiling.latest(load(spark, sf_dir, "qtaim_cps"), ["record_key", "cp_key"], [F.desc("loaded_at")])
-    return points.select("record_key", "cp_key", "vertical", *_FEATURES, "esp_total", (F.col("cp_num") % 10).alias("part"))
+    return points.select("record_key", "cp_key", "vertical", *_FEATURES, "esp_total")
 
 
 @query(_TRAIN + """,
-t AS (SELECT avg(lagrangian_k) AS m1, stddev_pop(lagrangian_k) AS s1, avg(eta) AS m2, stddev_pop(eta) AS s2 FROM c WHERE hash_part < 8)
+t AS (SELECT avg(lagrangian_k) AS m1, stddev_pop(lagrangian_k) AS s1, avg(eta) AS m2, stddev_pop(eta) AS s2 FROM c WHERE record_key IN (SELECT record_key FROM train))
 SELECT record_key, cp_key, round((lagrangian_k - m1) / s1, 6) AS lagrangian_k, round((eta - m2) / s2, 6) AS eta, true AS scaled FROM c, t
 """)
 def zscore_train_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All points scaled by what the points of training records are like."""
     rows = _features(spark, sf_dir)
-    scalers = scaling.merge_partials(scaling.fit_partial(rows.where("part < 8"), list(_FEATURES)))
+    train = _structures(spark, sf_dir).where(F.lower(F.trim("split_name")) == "train").select("record_key").distinct()
+    scalers = scaling.merge_partials(scaling.fit_partial(rows.join(train, "record_key", "left_semi"), list(_FEATURES)))
     out = scaling.apply_zscore(rows, scalers, list(_FEATURES))
     return out.select("record_key", "cp_key", *[F.round(c, 6).alias(c) for c in _FEATURES], "scaled")
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from quarrystone.plans import agreement, inputs, quality, relational, training
+from quarrystone.plans import agreement, features, inputs, quality, relational, training
 
-_MODULES = (agreement, relational, quality, inputs, training)
+_MODULES = (agreement, relational, quality, inputs, features, training)
 
 
 def queries() -> dict:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -150,13 +152,15 @@ def latest_wins_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH old AS (SELECT event_id % 500 AS k, event_id, event_type, value, ts FROM events WHERE event_id % 2 = 0), new AS (SELECT event_id % 500 AS k, event_id, event_type, value, ts FROM events WHERE event_id % 2 = 1),
-u AS (SELECT *, 0 AS is_new FROM old UNION ALL SELECT *, 1 FROM new), r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY event_id DESC, is_new DESC) AS n FROM u)
-SELECT k, event_id, event_type, value FROM r WHERE n = 1
+WITH m AS (SELECT max(ts) - INTERVAL 1 DAY AS cut FROM events), r AS (SELECT user_id, event_type, event_id, value, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS n FROM events)
+SELECT user_id, event_type, event_id, value FROM r WHERE n = 1
 """)
 def upsert_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = load(spark, sf_dir, "events").select((F.col("event_id") % 500).alias("k"), "event_id", "event_type", "value", "ts")
-    return joins.latest_wins(events.where("event_id % 2 = 0"), events.where("event_id % 2 = 1"), ["k"], "event_id").drop("ts")
+    """The latest event of each user and type: those up to the day before the last, brought up to date with the later ones."""
+    events = load(spark, sf_dir, "events").select("user_id", "event_type", "event_id", "value", "ts")
+    timed = events.join(F.broadcast(events.agg((F.max("ts") - F.expr("INTERVAL 1 DAY")).alias("cut"))))
+    old, new = (timed.where(c).drop("cut", "ts") for c in ("ts <= cut", "ts > cut or ts is null"))
+    return joins.latest_wins(old, new, ["user_id", "event_type"], "event_id")
 
 
 # --- set operations -------------------------------------------------------------------
@@ -181,13 +185,15 @@ def key_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH a AS (SELECT vertical || '__' || record_key AS key, 0 AS shard, loaded_at FROM structure_store WHERE struct_id % 2 = 0 UNION ALL SELECT vertical || '__' || record_key, 1, loaded_at FROM structure_store WHERE struct_id % 2 = 1)
-SELECT key, CAST(max(shard) AS INTEGER) AS shard, count(*) AS n_put FROM a GROUP BY key
+WITH a AS (SELECT vertical || '__' || record_key AS key, coalesce(lower(trim(split_name, ' ')), 'none') AS shard FROM structure_store)
+SELECT key, max(shard) AS shard, count(*) AS n_put, count(DISTINCT shard) AS n_shards FROM a GROUP BY key
 """)
 def merged_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two shards united under prefixed keys; puts are counted apart from distinct keys."""
-    rows = load(spark, sf_dir, "structure_store").select(F.concat_ws("__", "vertical", "record_key").alias("key"), F.pmod("struct_id", F.lit(2)).cast("int").alias("shard"))
-    return rows.where("shard = 0").unionByName(rows.where("shard = 1")).groupBy("key").agg(F.max("shard").alias("shard"), F.count(F.lit(1)).alias("n_put"))
+    """The stores of all splits united under prefixed keys; puts are counted apart from distinct keys."""
+    rows = load(spark, sf_dir, "structure_store").select(F.concat_ws("__", "vertical", "record_key").alias("key"), F.coalesce(F.lower(F.trim("split_name")), F.lit("none")).alias("shard"))
+    named = ["train", "val", "test"]
+    shards = [rows.where(F.col("shard") == n) for n in named] + [rows.where(~F.col("shard").isin(named))]
+    return reduce(DataFrame.unionByName, shards).groupBy("key").agg(F.max("shard").alias("shard"), F.count(F.lit(1)).alias("n_put"), F.count_distinct("shard").alias("n_shards"))
 
 
 # --- splits and samples ---------------------------------------------------------------
@@ -275,13 +281,14 @@ def quota_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH t AS (SELECT c_custkey FROM customer WHERE c_custkey % 3 = 0), r AS (SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256(c_custkey::VARCHAR || '_9'), c_custkey) AS n,
+WITH t AS (SELECT c_custkey FROM customer WHERE c_acctbal < 0), r AS (SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY sha256(c_custkey::VARCHAR || '_9'), c_custkey) AS n,
   count(*) OVER (PARTITION BY c_mktsegment) AS size FROM customer WHERE c_custkey NOT IN (SELECT c_custkey FROM t))
 SELECT c_custkey, c_mktsegment FROM r WHERE n <= greatest(1, floor(0.1 * size + 0.5))
 """)
 def complement_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return sampling.complement_sample(rows, rows.where("c_custkey % 3 = 0"), "c_mktsegment", "c_custkey", 0.1, 9)
+    rows = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    taken = rows.where("c_acctbal < 0")
+    return sampling.complement_sample(rows.drop("c_acctbal"), taken, "c_mktsegment", "c_custkey", 0.1, 9)
 
 
 _PAIRS = _STRUCTURES + """,
