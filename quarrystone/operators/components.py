@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quarrystone.operators.skew import skew_lookup
 from quarrystone.session import materialize
 
 MAX_ROUNDS = 60
@@ -14,8 +15,9 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
     """(node, root): the least node of each node's component.
 
     Large and small stars alternate until nothing moves; every round is two
-    grouped minima (combined map-side) and joins by node, written to the shared
-    folder, so the lineage stays short and no task holds a component. Nodes
+    grouped minima (combined map-side) and lookups by node, written to the shared
+    folder, so the lineage stays short; the edges of a hub, such as the root of
+    a large component, are looked up where they lie, so no task holds one. Nodes
     without edges do not occur. Edges with a null end and self-loops are
     dropped, repeated ones merged.
     """
@@ -25,12 +27,12 @@ def connected_components(edges: DataFrame, left: str = "a", right: str = "b") ->
     for _ in range(MAX_ROUNDS):
         # large star: each node's greater neighbours are tied to the least node it knows
         both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        large = both.join(least, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
+        least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count(F.lit(1)).alias("_rows")), "cc-least")
+        large = skew_lookup(both, least, ["u"], "_rows").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).where(F.col("u") != F.col("v")).distinct()
         # small star: each node and its lesser neighbours are tied to the least of them
         lesser = materialize(large, "cc")
-        least = lesser.groupBy("u").agg(F.min("v").alias("m"))
-        small = lesser.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
+        least = materialize(lesser.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("_rows")), "cc-least")
+        small = skew_lookup(lesser, least, ["u"], "_rows").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         current = materialize(small.where(F.col("u") != F.col("v")).distinct(), "cc")
         state = current.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:

@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarrystone.operators.skew import skew_lookup
 from quarrystone.session import materialize
 
 _PAIR = re.compile(r"[0-9]+_[A-Za-z]+_to_[0-9]+_[A-Za-z]+")
@@ -198,7 +199,9 @@ def schema_changes(fields: DataFrame) -> DataFrame:
         .agg(F.sum("eq").alias("n_equal"), F.sum("ne").alias("n_other"))
     )
     rivals = gone.join(come, ["feed_id", "batch_no"]).join(evidence, ["feed_id", "batch_no", "old_field", "new_field"], "left").fillna(0, ["n_equal", "n_other"])
-    renamed = materialize(rivals.groupBy("feed_id", "batch_no").applyInPandas(_match, "feed_id bigint, batch_no int, old_field string, new_field string, score double"), "drift-renamed")
+    # steps cost time, not bytes: adaptive execution must not put them together in a few tasks
+    spread = rivals.repartition(int(fields.sparkSession.conf.get("spark.sql.shuffle.partitions")), "feed_id", "batch_no")
+    renamed = materialize(spread.groupBy("feed_id", "batch_no").applyInPandas(_match, "feed_id bigint, batch_no int, old_field string, new_field string, score double"), "drift-renamed")
 
     none = F.lit(None)
     kept = both.where(F.col("_old") & F.col("_new") & (F.col("old_kind") != F.col("new_kind")))
@@ -258,7 +261,9 @@ def consistent_table(fields: DataFrame, changes: DataFrame) -> DataFrame:
     number, cast from text or from a {value, unit} object where it was sent so;
     ``text`` the value as sent. Null values keep a row with nulls.
     """
-    named = fields.join(field_names(fields, changes), ["feed_id", "batch_no", "field"])
+    place = ["feed_id", "batch_no", "field"]
+    sizes = fields.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"))
+    named = skew_lookup(fields, materialize(field_names(fields, changes).join(sizes, place), "drift-names"), place, "_rows")
     rows = named.select("file_id", "feed_id", "batch_no", "folder", F.col("canonical").alias("field"), F.col("field").alias("source_field"), F.explode("cells").alias("pair", "_json"))
     text = F.from_json(F.concat(F.lit('{"v":'), F.col("_json"), F.lit("}")), "v string")["v"]
     unwrapped = F.when(F.ltrim("text").startswith("{"), F.from_json("text", "value string")["value"]).otherwise(F.col("text"))

@@ -78,7 +78,12 @@ class Model:
 
 @dataclass(frozen=True)
 class LowRankFill:
-    """Fields and parameters of the fill; see ``fill``."""
+    """Fields and parameters of the fill; see ``fill``.
+
+    ``reach``: numbers farther from the mean than so many deviations (of the
+    transformed column) pull on the factors as if they were that far; they
+    stay as they are in the table, and no fill lies beyond.
+    """
 
     numbers: tuple[NumberField, ...]
     category: CategoryField
@@ -86,6 +91,7 @@ class LowRankFill:
     rounds: int = 6
     ridge: float = 0.005
     bin_weight: float = 0.5
+    reach: float = 8.0
     seed: int = 17
     mark: str = "_filled"
 
@@ -123,7 +129,7 @@ class LowRankFill:
                 missing[f.name] = ~ok
             y = np.where(ok, (TRANSFORMS[f.transform][0](np.where(ok, x, 1.0)) - model.mean[f.name]) / model.scale[f.name], 0.0)
             block = np.zeros((n, 1 + f.bins))
-            block[:, 0] = np.clip(y, -8, 8)
+            block[:, 0] = np.clip(y, -self.reach, self.reach)
             if f.bins:
                 place = np.searchsorted(model.edges[f.name], y)
                 block[np.arange(n), 1 + place] = ok
@@ -251,7 +257,7 @@ class LowRankFill:
                 columns = {name: batch.column(name) for name in names}
                 for f in self.filled_numbers:
                     x = batch.column(f.name).cast(pa.float64()).to_numpy(zero_copy_only=False)
-                    y = TRANSFORMS[f.transform][1](np.clip(decoded[f.name], -8, 8) * model.scale[f.name] + model.mean[f.name])
+                    y = TRANSFORMS[f.transform][1](np.clip(decoded[f.name], -self.reach, self.reach) * model.scale[f.name] + model.mean[f.name])
                     y = np.clip(np.nan_to_num(y, nan=1.0), max(f.low, 1e-9) if f.open_low else f.low, f.high)
                     columns[f.name] = pa.array(np.where(missing[f.name], y, x)).cast(batch.column(f.name).type)
                 text = pc.utf8_trim(batch.column(self.category.name).cast(pa.string()), " ")

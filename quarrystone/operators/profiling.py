@@ -102,3 +102,8 @@ def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key, the last in ``order``."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
+
+
+def latest_records(records: DataFrame, key: str = "struct_id", loaded_at: str = "loaded_at") -> DataFrame:
+    """One row per record, the one loaded last; ties by the row's hash, nulls earliest."""
+    return latest(records, [key], [F.col(loaded_at).desc_nulls_last(), F.xxhash64(*[c for c in records.columns if c != key])])

@@ -17,6 +17,7 @@ def skew_lookup(facts: DataFrame, dim: DataFrame, on: list[str], rows_col: str,
     ``max(min_hot_rows, total / MAX_HOT_KEYS)`` rows, of which there are fewer
     than ``MAX_HOT_KEYS``, are joined by broadcast where the facts lie; all
     other rows go through a hash-partitioned join. Null keys match nothing.
+    ``dim`` is read up to four times, so it should be a written table.
     """
     total = dim.agg(F.sum(rows_col)).first()[0] or 0
     limit = max(min_hot_rows, total // MAX_HOT_KEYS)

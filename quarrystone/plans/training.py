@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.operators import drift, flatten, lowrank, masks, packing
+from quarrystone.plans.quality import normal_folder_sql
 from quarrystone.session import load, materialize
 
 
@@ -87,16 +88,33 @@ QUERIES = {
     for f in (p1_found, p1_filled, p3_found, p3_children, p4_found, p4_table, p6_found, p6_profile, p6_violations, p7_found, p7_index, p7_compare)
 }
 
+_SCANS = f"""
+k AS (SELECT subroot, {normal_folder_sql('subroot')} AS root, {normal_folder_sql('folder')} AS nf, file_id, file_name, content FROM job_files),
+u AS (SELECT arg_min(root, file_id) AS root, octet_length(encode(any_value(content))) AS size FROM k GROUP BY nf, file_name, content),
+p AS (SELECT root AS subroot, count(*) AS packed_files, CAST(sum(coalesce(size, 0)) AS BIGINT) AS packed_bytes FROM u GROUP BY root),
+g AS (SELECT {normal_folder_sql('subroot')} AS subroot, arg_max(total_files, (scanned_at, total_files, total_bytes)) AS total_files, arg_max(total_bytes, (scanned_at, total_files, total_bytes)) AS total_bytes
+  FROM size_scan WHERE lower(trim(status, ' ')) = 'ok' AND total_files IS NOT NULL GROUP BY 1)
+"""
+
 SQL = {
+    "p7_found": f"""
+SELECT file_id FROM (SELECT file_id, min(file_id) OVER (PARTITION BY {normal_folder_sql('folder')}, file_name, content) AS kept FROM job_files) WHERE file_id <> kept
+""",
+    "p7_compare": f"""
+WITH {_SCANS}
+SELECT coalesce(p.subroot, g.subroot) AS subroot, coalesce(packed_files, 0) AS packed_files, coalesce(packed_bytes, 0) AS packed_bytes, total_files, total_bytes, coalesce(packed_files, 0) - total_files AS files_off
+FROM p FULL JOIN g ON p.subroot = g.subroot
+""",
     "p1_found": """
+WITH n AS (SELECT *, row_number() OVER (PARTITION BY record_key, cp_key ORDER BY loaded_at DESC NULLS LAST) AS copy FROM qtaim_cps), c AS (SELECT * FROM n WHERE copy = 1)
 SELECT DISTINCT record_key, cp_key, field FROM (
-  SELECT record_key, cp_key, 'density_all' AS field FROM qtaim_cps
+  SELECT record_key, cp_key, 'density_all' AS field FROM c
   WHERE density_all IS NULL OR NOT isfinite(density_all) OR NOT (density_all > 0 AND density_all <= 100000)
   UNION ALL
-  SELECT record_key, cp_key, 'ellip_e_dens' FROM qtaim_cps
+  SELECT record_key, cp_key, 'ellip_e_dens' FROM c
   WHERE ellip_e_dens IS NULL OR NOT isfinite(ellip_e_dens) OR NOT (ellip_e_dens >= 0 AND ellip_e_dens <= 1000)
   UNION ALL
-  SELECT record_key, cp_key, 'elem' FROM qtaim_cps
+  SELECT record_key, cp_key, 'elem' FROM c
   WHERE NOT contains(cp_key, '_') AND (elem IS NULL OR lower(trim(elem, ' ')) NOT IN ({symbols})))
 """.replace("{symbols}", ", ".join(f"'{s.lower()}'" for s in lowrank.SYMBOLS)),
     "p6_found": r"""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -74,3 +76,52 @@ def read_exclusions(spark: SparkSession, path: str) -> DataFrame:
     if missing:
         raise ValueError(f"{path}: no column {', '.join(sorted(missing))}")
     return rows.select("vertical", "key").distinct()
+
+
+def read_split(spark: SparkSession, root: str, split: str, verticals: list[str] | None = None) -> DataFrame:
+    """Records of one split, of some verticals if named (both pruned as partitions)."""
+    rows = spark.read.parquet(root).where(F.col("split") == split)
+    return rows if verticals is None else rows.where(F.col("vertical").isin(verticals))
+
+
+def split_verticals(spark: SparkSession, root: str) -> list[str]:
+    """Verticals that some split of a split store has, sorted."""
+    splits = [n for n in _children(spark, root) if n.startswith("split=")]
+    return sorted({v.removeprefix("vertical=") for s in splits for v in _children(spark, f"{root}/{s}") if v.startswith("vertical=")})
+
+
+def read_holdouts(spark: SparkSession, root: str) -> DataFrame:
+    """All holdouts the index of ``root`` names, each row with its ``holdout_id``; columns one of them lacks are null there."""
+    names = [r["holdout_id"] for r in spark.read.csv(f"{root}/INDEX", header=True).orderBy("holdout_id").collect()]  # a row per holdout
+    if not names:
+        raise ValueError(f"{root}: no holdouts")
+    parts = [spark.read.csv(f"{root}/{n}", header=True).withColumn("holdout_id", F.lit(n)) for n in names]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def read_neighbors(spark: SparkSession, root: str, kind: str, metal: str) -> DataFrame:
+    """(vertical, rel_path, metal, partner, pair) of a neighbour list, ``merged/`` first, Parquet or CSV.
+
+    ``metal`` is the class-specific name of the list's metal column.
+    """
+    for base in (f"{root}/merged", root):
+        for suffix, read in ((".parquet", spark.read.parquet), (".csv", lambda p: spark.read.csv(p, header=True))):
+            if _exists(spark, f"{base}/{kind}{suffix}"):
+                rows = read(f"{base}/{kind}{suffix}").withColumnRenamed(metal, "metal")
+                return rows.select("vertical", "rel_path", "metal", "partner", F.concat_ws("-", "metal", "partner").alias("pair"))
+    raise FileNotFoundError(f"{root}: no {kind} list")
+
+
+def read_vectors(spark: SparkSession, path: str, mode: str = "all", own: tuple[str, ...] = (), keep: DataFrame | None = None) -> DataFrame:
+    """(key, source, vector) of a vector store.
+
+    ``mode`` is ``all``, ``own`` (sources named in ``own``) or ``others``;
+    ``keep`` limits to its keys.
+    """
+    if mode not in ("all", "own", "others"):
+        raise ValueError(f"unknown mode {mode!r}")
+    rows = spark.read.parquet(path).select("key", "source", "vector")
+    if mode != "all":
+        named = F.coalesce(F.col("source").isin(*own), F.lit(False))
+        rows = rows.where(named if mode == "own" else ~named)
+    return rows if keep is None else rows.join(keep.select("key").distinct(), "key", "left_semi")

@@ -93,3 +93,53 @@ def test_guards(spark):
     filled = scaling.impute(df, ["x", "y"], "median").collect()
     assert [(r["y"], r["n_imputed"]) for r in filled] == [(-1.0, 1), (-1.0, 1)]
     assert scaling.impute(df, ["x", "y"], "drop").count() == 0
+
+
+def test_splits_holdouts_and_vectors(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    rows = spark.createDataFrame([("a", "k1", "train"), ("b", "k2", "train"), ("c", "k3", "test")], "vertical string, key string, split string")
+    writers.write_splits(rows, f"{root}/splits")
+    assert [r["key"] for r in stores.read_split(spark, f"{root}/splits", "train", ["b"]).collect()] == ["k2"]
+    assert stores.split_verticals(spark, f"{root}/splits") == ["a", "b", "c"]
+    index = writers.write_holdouts({"h1": rows.where("vertical = 'a'"), "h2": rows.where("vertical <> 'a'").drop("split")}, f"{root}/holdouts")
+    assert {r["holdout_id"]: r["n_records"] for r in index.collect()} == {"h1": 1, "h2": 2}
+    got = stores.read_holdouts(spark, f"{root}/holdouts").collect()
+    assert sorted((r["holdout_id"], r["key"], r["split"]) for r in got) == [("h1", "k1", "train"), ("h2", "k2", None), ("h2", "k3", None)]
+    vectors = spark.createDataFrame([("x", "own", [1.0]), ("y", "far", [2.0]), ("z", None, [3.0])], "key string, source string, vector array<double>")
+    writers.write_vectors(vectors, f"{root}/v", {"width": "1"})
+    assert spark.read.parquet(f"{root}/v").schema["vector"].metadata == {"width": "1"}
+    assert [r["key"] for r in stores.read_vectors(spark, f"{root}/v", "own", ("own",)).collect()] == ["x"]
+    assert sorted(r["key"] for r in stores.read_vectors(spark, f"{root}/v", "others", ("own",)).collect()) == ["y", "z"]
+    assert stores.read_vectors(spark, f"{root}/v", keep=vectors.where("key = 'y'")).count() == 1
+    near = spark.createDataFrame([("a", "p", "FE", "C", 1)], "vertical string, rel_path string, tm string, partner string, n int")
+    near.write.csv(f"{root}/lists/tm.csv", header=True)
+    assert stores.read_neighbors(spark, f"{root}/lists", "tm", "tm").first()["pair"] == "FE-C"
+    with pytest.raises(FileNotFoundError):
+        stores.read_neighbors(spark, f"{root}/lists", "ln", "ln")
+
+
+def test_manifest_exclusions_and_folder_lists(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    rows = spark.createDataFrame([("v", "a", "ok"), ("v", "b", "missing_structure")], "vertical string, rel_path string, read_status string")
+    assert writers.write_manifest(rows, root) and not writers.write_manifest(rows, root) and writers.write_manifest(rows, root, overwrite=True)
+    assert [r["rel_path"] for r in stores.read_manifest(spark, f"{root}/manifest").collect()] == ["a"]
+    spark.createDataFrame([("v", "k"), ("v", "k")], "vertical string, key string").write.parquet(f"{root}/out")
+    assert stores.read_exclusions(spark, f"{root}/out").count() == 1
+    with pytest.raises(ValueError):
+        stores.read_exclusions(spark, f"{root}/manifest")
+    (tmp_path / "list.txt").write_text("# jobs\n\n /a/b \n#x\n/c\n")
+    assert sorted(r["folder"] for r in stores.read_folder_list(spark, f"{root}/list.txt").collect()) == ["/a/b", "/c"]
+    (tmp_path / "none.txt").write_text("# nothing\n")
+    with pytest.raises(ValueError):
+        stores.read_folder_list(spark, f"{root}/none.txt")
+    merged = writers.merge_archives(spark.createDataFrame([("x", "old"), ("y", "longer")], "name string, content string"), spark.createDataFrame([("x", "new"), ("y", "s"), ("z", "z")], "name string, content string"))
+    assert {r["name"]: r["content"] for r in merged.collect()} == {"x": "old", "y": "longer", "z": "z"}
+
+
+def test_components_of_one_hub_and_a_chain(spark):
+    from quarrystone.operators import components, skew
+
+    edges = [(1000, i) for i in range(2000, 2300)] + [(i, i + 1) for i in range(300)] + [(7000, 7000), (None, 3)]
+    least = skew.MAX_HOT_KEYS
+    roots = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert roots == {i: 0 for i in range(301)} | {i: 1000 for i in [1000, *range(2000, 2300)]} and least == 256
