@@ -12,6 +12,7 @@ further up its own path, and a word of any length takes linear time.
 from __future__ import annotations
 
 import base64
+import os
 import re
 from collections.abc import Iterator
 from itertools import chain
@@ -20,7 +21,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import DataFrame
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
@@ -197,10 +199,17 @@ _TABLES: dict[str, WordTable] = {}
 
 def word_table(path: str) -> WordTable:
     if path not in _TABLES:
-        _TABLES[path] = WordTable(TrieEncoder.load(path))
+        own = path if os.path.exists(path) else SparkFiles.get(os.path.basename(path))
+        _TABLES[path] = WordTable(TrieEncoder.load(own))
     return _TABLES[path]
 
 
+def ship_vocabulary(spark: SparkSession, path: str) -> None:
+    """Give the executors the rank file, for nodes that don't have it where the driver has."""
+    if os.path.exists(path):
+        spark.sparkContext.addFile(path)
+
+
 def _slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
     """Runs of rows of about ``most`` characters, a longer text alone."""
     sizes = pc.fill_null(pc.utf8_length(texts), 0).to_pylist()
@@ -221,6 +230,7 @@ def encode_corpus(documents: DataFrame, key: str = "doc_id", text: str = "text",
     tokens are ordinary text. Texts of any length are encoded whole. One pass,
     no shuffle; repeated rows are encoded alike. An empty table stays empty.
     """
+    ship_vocabulary(documents.sparkSession, vocabulary)
     rows = documents.select(key, F.col(text).cast("string").alias("_text"))
     schema = StructType([rows.schema[key], StructField("ids", ArrayType(IntegerType(), False))])
 
@@ -238,6 +248,7 @@ def encode_corpus(documents: DataFrame, key: str = "doc_id", text: str = "text",
 
 def count_tokens(documents: DataFrame, keep: list[str], text: str = "text", vocabulary: str = VOCABULARY, name: str = "n_tokens") -> DataFrame:
     """(keep, name): how many ids every text has; 0 for null and empty texts."""
+    ship_vocabulary(documents.sparkSession, vocabulary)
     rows = documents.select(*keep, F.col(text).cast("string").alias("_text"))
     schema = StructType([*(rows.schema[k] for k in keep), StructField(name, LongType())])
 

@@ -9,14 +9,13 @@ by grouped iterative stratification.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from quarrystone.operators.components import connected_components
+from quarrystone.operators.profiling import latest_records
 from quarrystone.operators.skew import skew_lookup
 from quarrystone.session import materialize
 
@@ -37,12 +36,6 @@ def composition_key(molecule: Column) -> Column:
     return F.when(~F.exists(symbols, lambda s: s.isNull()), F.array_join(F.array_sort(symbols), ","))
 
 
-def latest_records(records: DataFrame, key: str = "struct_id", loaded_at: str = "loaded_at") -> DataFrame:
-    """One row per record, the one loaded last; ties by the row's hash, nulls earliest."""
-    order = Window.partitionBy(key).orderBy(F.col(loaded_at).desc_nulls_last(), F.xxhash64(*[c for c in records.columns if c != key]))
-    return records.withColumn("_place", F.row_number().over(order)).where(F.col("_place") == 1).drop("_place")
-
-
 def related_groups(records: DataFrame, record_id: str, keys: dict[str, Column]) -> DataFrame:
     """(record_id, group_id, group_size): all records with their groups.
 
@@ -76,26 +69,16 @@ def structure_groups(structures: DataFrame) -> DataFrame:
     return related_groups(latest_records(structures), "struct_id", {"composition": composition_key(F.col("molecule")), "origin": F.lower(F.trim("origin_ref"))})
 
 
-@dataclass(frozen=True)
-class SplitConfig:
-    """One row of the split settings."""
-
-    config_id: int
-    method: str | None
-    ratios: tuple[float, ...] | None
-    seed: int | None
-
-    def problem(self) -> str | None:
-        """Why the row is not valid, None if it is."""
-        if self.method not in ("random", "composition"):
-            return "method"
-        if self.ratios is None or len(self.ratios) != len(SPLITS):
-            return "number of ratios"
-        if any(r is None or not r > 0 for r in self.ratios):
-            return "ratio not above 0"
-        if abs(sum(self.ratios) - 1) > 1e-6:
-            return "ratios do not sum to 1"
-        return None if self.seed is not None else "seed"
+def setting_problem(method: Column, ratios: Column, seed: Column) -> Column:
+    """What is wrong with a split setting, null if nothing is: the first of method, number, sign and sum of the ratios, and seed."""
+    total = F.aggregate(ratios, F.lit(0.0), lambda s, r: s + r)
+    return (
+        F.when(~F.coalesce(method.isin("random", "composition"), F.lit(False)), "method")
+        .when(~F.coalesce(F.size(ratios) == len(SPLITS), F.lit(False)), "number of ratios")
+        .when(~F.forall(ratios, lambda r: F.coalesce((r > 0) & ~F.isnan(r), F.lit(False))), "ratio not above 0")
+        .when(~(F.abs(total - 1) <= 1e-6), "ratios do not sum to 1")
+        .when(seed.isNull(), "seed")
+    )
 
 
 def place(components: pd.DataFrame, want: np.ndarray, want_labels: np.ndarray, seed: int) -> np.ndarray:
@@ -139,17 +122,18 @@ def place(components: pd.DataFrame, want: np.ndarray, want_labels: np.ndarray, s
     return out
 
 
-def stratified_assignment(groups: DataFrame, labels: DataFrame, configs: list[SplitConfig], label_cols: list[str]) -> DataFrame:
-    """(config_id, record_id, group_id, split_name) for each valid composition config.
+def stratified_assignment(groups: DataFrame, labels: DataFrame, settings: DataFrame, label_cols: list[str]) -> DataFrame:
+    """(config_id, record_id, group_id, split_name) for each valid composition setting.
 
-    ``groups`` is what related_groups gives, ``labels`` (record_id, label_cols)
+    ``settings`` has (config_id, method, ratios, seed), a row per setting; ``groups`` is what related_groups gives, ``labels`` (record_id, label_cols)
     what is to be spread evenly. Values of each label column count as labels
     of their own (a few dozen in all; null is one). Components larger than
     1/LARGE_SHARE of all records, fewer than LARGE_SHARE, are placed first on
     the driver; the rest, hashed into blocks, are placed block by block
     towards what is still wanted, each block by its share.
     """
-    wanted = [c for c in configs if c.problem() is None and c.method == "composition"]
+    valid = setting_problem(F.col("method"), F.col("ratios"), F.col("seed")).isNull() & (F.col("method") == "composition")
+    wanted = settings.where(valid).orderBy("config_id").collect()
     spark = groups.sparkSession
     schema = "config_id int, group_id bigint, split_name string"
     marked = groups.join(labels, "record_id").select(
@@ -193,7 +177,7 @@ def stratified_assignment(groups: DataFrame, labels: DataFrame, configs: list[Sp
     return out
 
 
-def _place_blocks(small: DataFrame, config: SplitConfig, shares: np.ndarray, want_labels: np.ndarray, n_blocks: int, schema: str) -> DataFrame:
+def _place_blocks(small: DataFrame, config: Row, shares: np.ndarray, want_labels: np.ndarray, n_blocks: int, schema: str) -> DataFrame:
     shares = np.maximum(shares, 0) / np.maximum(shares, 0).sum()
     by_label = np.maximum(want_labels, 0)
     by_label = by_label / np.maximum(by_label.sum(axis=0), 1e-9)

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarrystone.llm.grouped_splits import latest_records
 from quarrystone.llm.superpose import superposable
+from quarrystone.operators.profiling import latest_records
 from quarrystone.operators.skew import skew_lookup
 from quarrystone.session import materialize
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrystone.llm import encoding, grouped_splits, mixing, overlap, subjects
+from quarrystone.operators.profiling import latest_records
 from quarrystone.session import load, materialize
 
 
@@ -31,12 +32,14 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p5_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Train, val and test for each valid composition setting."""
-    configs = [
-        grouped_splits.SplitConfig(r["config_id"], r["method"], None if r["ratios"] is None else tuple(r["ratios"]), r["seed"])
-        for r in load(spark, sf_dir, "split_config").orderBy("config_id").collect()
-    ]
-    labels = grouped_splits.latest_records(load(spark, sf_dir, "structure_store")).select(F.col("struct_id").alias("record_id"), "vertical", "charge", "spin")
-    return grouped_splits.stratified_assignment(materialize(_groups(spark, sf_dir), "p5-groups"), labels, configs, ["vertical", "charge", "spin"])
+    labels = latest_records(load(spark, sf_dir, "structure_store")).select(F.col("struct_id").alias("record_id"), "vertical", "charge", "spin")
+    return grouped_splits.stratified_assignment(materialize(_groups(spark, sf_dir), "p5-groups"), labels, load(spark, sf_dir, "split_config"), ["vertical", "charge", "spin"])
+
+
+def p5_configs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is wrong with each split setting, if anything."""
+    rows = load(spark, sf_dir, "split_config")
+    return rows.select("config_id", grouped_splits.setting_problem(F.col("method"), F.col("ratios"), F.col("seed")).alias("problem"))
 
 
 def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +75,20 @@ def p10_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return subjects.subject_shares(_assigned(spark, sf_dir), load(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_splits, p8_ids, p9_mix, p9_shares, p10_found, p10_shares)}
-
-SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (p2_found, p2_report, p5_found, p5_splits, p5_configs, p8_ids, p9_mix, p9_shares, p10_found, p10_shares)}
+
+SQL: dict[str, str] = {
+    "p5_found": """
+WITH RECURSIVE s0 AS (SELECT *, row_number() OVER (PARTITION BY struct_id ORDER BY loaded_at DESC NULLS LAST) AS n FROM structure_store), s AS (SELECT * FROM s0 WHERE n = 1),
+k AS (SELECT struct_id, 'c' || array_to_string(list_sort(list_transform(molecule, lambda a: lower(trim(a.elem, ' ')))), ',') AS key FROM s
+    WHERE molecule IS NOT NULL AND len(list_filter(molecule, lambda a: a.elem IS NULL)) = 0
+  UNION ALL SELECT struct_id, 'o' || lower(trim(origin_ref, ' ')) FROM s WHERE origin_ref IS NOT NULL),
+m AS (SELECT struct_id AS a, min(struct_id) OVER (PARTITION BY key) AS b FROM k), e AS (SELECT DISTINCT a, b FROM m UNION SELECT b, a FROM m),
+r(a, b) AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT a AS struct_id, min(b) AS group_id FROM r GROUP BY a HAVING count(*) > 1
+""",
+    "p5_configs": """
+SELECT config_id, CASE WHEN method IS NULL OR method NOT IN ('random', 'composition') THEN 'method' WHEN ratios IS NULL OR len(ratios) <> 3 THEN 'number of ratios'
+  WHEN list_min(ratios) <= 0 THEN 'ratio not above 0' WHEN abs(list_sum(ratios) - 1) > 1e-6 THEN 'ratios do not sum to 1' WHEN seed IS NULL THEN 'seed' END AS problem FROM split_config
+""",
+}

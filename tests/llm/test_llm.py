@@ -208,15 +208,21 @@ def test_groups_and_splits(spark):
         members.setdefault(find(("s", i)), []).append(i)
     assert got == {i: (min(m), len(m)) for m in members.values() for i in m}
     labels = df.select(F.col("struct_id").alias("record_id"), "vertical")
-    configs = [grouped_splits.SplitConfig(1, "composition", (0.4, 0.3, 0.3), 7), grouped_splits.SplitConfig(2, "Composition", (0.8, 0.1, 0.1), 7), grouped_splits.SplitConfig(3, "composition", (0.8, 0.1), 1)]
-    out = grouped_splits.stratified_assignment(groups, labels, configs, ["vertical"]).toPandas()
+    settings_ = [(1, "composition", [0.4, 0.3, 0.3], 7), (2, "Composition", [0.8, 0.1, 0.1], 7), (3, "composition", [0.8, 0.1], 1), (4, "random", [0.4, 0.3, 0.3], 7)]
+    settings_ = spark.createDataFrame(settings_, "config_id int, method string, ratios array<double>, seed int")
+    out = grouped_splits.stratified_assignment(groups, labels, settings_, ["vertical"]).toPandas()
     assert set(out.config_id) == {1} and len(out) == 2000 and out.record_id.is_unique
     assert (out.groupby("group_id").split_name.nunique() == 1).all()
 
 
-@pytest.mark.parametrize("config, valid", [(("composition", (0.8, 0.1, 0.1), 1), True), (("random", (0.8, 0.1, 0.1), 1), True), ((None, (0.8, 0.1, 0.1), 1), False), (("composition", None, 1), False), (("composition", (1.0, 0.0, 0.0), 1), False), (("composition", (0.8, 0.3, 0.1), 1), False)])
-def test_config(config, valid):
-    assert (grouped_splits.SplitConfig(1, *config).problem() is None) == valid
+def test_settings(spark):
+    rows = [
+        (0, "composition", [0.8, 0.1, 0.1], 1, None), (1, "random", [0.8, 0.1, 0.1], 1, None), (2, None, [0.8, 0.1, 0.1], 1, "method"), (3, "composition", None, 1, "number of ratios"), (4, "composition", [1.0, 0.0, 0.0], 1, "ratio not above 0"),
+        (5, "composition", [0.8, 0.3, 0.1], 1, "ratios do not sum to 1"), (6, "composition", [0.8, None, 0.2], 1, "ratio not above 0"), (7, "composition", [0.8, 0.1, 0.1], None, "seed"), (8, "composition", [float("nan"), 0.1, 0.1], 1, "ratio not above 0"),
+    ]
+    df = spark.createDataFrame(rows, "i int, method string, ratios array<double>, seed int, want string")
+    got = df.select("want", grouped_splits.setting_problem(F.col("method"), F.col("ratios"), F.col("seed")).alias("got")).collect()
+    assert all(r["want"] == r["got"] for r in got)
 
 
 # --- mixing -----------------------------------------------------------------------------
