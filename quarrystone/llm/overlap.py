@@ -70,14 +70,19 @@ def shape_words(elements: np.ndarray, xyz: np.ndarray, lengths: np.ndarray, tole
     kinds = np.bincount(owner, minlength=n)
     per = 3 + 4 * kinds
     starts = np.concatenate([[0], np.cumsum(per)])[:-1]
-    words, bounds = np.empty(per.sum()), np.full(per.sum(), tolerance)
+    words = np.empty(per.sum())
     words[starts[:, None] + np.arange(3)] = whole
     rank = np.arange(len(keys)) - np.repeat(np.concatenate([[0], np.cumsum(kinds)])[:-1], kinds)
     at = starts[owner[order]] + 3 + 4 * rank
     words[at[:, None] + np.arange(3)] = radii[order]
     words[at + 3] = np.linalg.norm(centre[order], axis=1)
-    bounds[at + 3] = 2 * tolerance
-    return words, bounds, per
+    return words, word_bounds(per, tolerance), per
+
+
+def word_bounds(per: np.ndarray, tolerance: float) -> np.ndarray:
+    """How far each word of structures with ``per`` words can move: a centre's distance twice the tolerance, radii once."""
+    place = np.arange(per.sum()) - np.repeat(np.concatenate([[0], np.cumsum(per)])[:-1], per)
+    return np.where((place >= 3) & (place % 4 == 2), 2 * tolerance, tolerance)
 
 
 def _mixed(h: np.ndarray, value: np.ndarray) -> np.ndarray:
@@ -121,21 +126,20 @@ def _words(tolerance: float):
             if not batch.num_rows:
                 continue
             lengths = batch.column("elements").value_lengths().to_numpy(zero_copy_only=False)
-            words, bounds, per = shape_words(_flat(batch.column("elements")).astype(str), np.column_stack([_flat(batch.column(c)) for c in "xyz"]), lengths, tolerance)
+            words, _, per = shape_words(_flat(batch.column("elements")).astype(str), np.column_stack([_flat(batch.column(c)) for c in "xyz"]), lengths, tolerance)
             offsets = pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(v)) for v in (words, bounds)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *lists], names=[*batch.schema.names, "words", "bounds"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(offsets, pa.array(words))], names=[*batch.schema.names, "words"])
 
     return run
 
 
-def _gram_rows(cell: float):
+def _gram_rows(tolerance: float, cell: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             per = batch.column("words").value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
-            of, place, n_grams, is_own, gram = gram_table(_flat(batch.column("words")), _flat(batch.column("bounds")), per, cell)
+            of, place, n_grams, is_own, gram = gram_table(_flat(batch.column("words")), word_bounds(per, tolerance), per, cell)
             in_train, in_eval = (batch.column(c).to_numpy(zero_copy_only=False)[of] for c in ("in_train", "in_eval"))
             up = pa.array(of)
             for keep, is_eval in ((in_train & is_own, False), (in_eval, True)):
@@ -197,7 +201,7 @@ class SplitOverlap:
             .select("class_id", "in_train", "in_eval", "charge", "spin", F.col("atoms.e").alias("elements"), F.col("atoms.x").alias("x"), F.col("atoms.y").alias("y"), F.col("atoms.z").alias("z"))
             .withColumn("block", block).drop("charge", "spin")
         )
-        schema = "class_id bigint, in_train boolean, in_eval boolean, elements array<string>, x array<double>, y array<double>, z array<double>, block bigint, words array<double>, bounds array<double>"
+        schema = "class_id bigint, in_train boolean, in_eval boolean, elements array<string>, x array<double>, y array<double>, z array<double>, block bigint, words array<double>"
         self.classes = materialize(classes.mapInArrow(_words(tolerance), schema), "overlap-classes")
 
     def hits(self) -> DataFrame:
@@ -205,8 +209,8 @@ class SplitOverlap:
 
         The gram join is a sort-merge join, whose hot grams adaptive execution splits.
         """
-        slim = self.classes.select("class_id", "block", "in_train", "in_eval", "words", "bounds")
-        rows = slim.mapInArrow(_gram_rows(max(CELL, 8 * self.tolerance)), "class_id bigint, block bigint, place int, n_grams int, is_eval boolean, gram bigint")
+        slim = self.classes.select("class_id", "block", "in_train", "in_eval", "words")
+        rows = slim.mapInArrow(_gram_rows(self.tolerance, max(CELL, 8 * self.tolerance)), "class_id bigint, block bigint, place int, n_grams int, is_eval boolean, gram bigint")
         rows = materialize(rows, "overlap-grams")
         train = rows.where(~F.col("is_eval")).select(F.col("class_id").alias("train_class"), "block", "place", "gram")
         evaluation = rows.where("is_eval").select(F.col("class_id").alias("eval_class"), "block", "place", "n_grams", "gram")
@@ -221,13 +225,15 @@ class SplitOverlap:
         """(train_class, eval_class, containment): classes that can be superposed."""
 
         def side(letter: str, name: str) -> DataFrame:
-            return self.classes.select(F.col("class_id").alias(name), F.col("elements").alias(f"e{letter}"), *[F.col(c).alias(f"{c}{letter}") for c in "xyz"], F.col("words").alias(f"w{letter}"), F.col("bounds").alias(f"r{letter}"))
+            return self.classes.select(F.col("class_id").alias(name), F.col("elements").alias(f"e{letter}"), *[F.col(c).alias(f"{c}{letter}") for c in "xyz"], F.col("words").alias(f"w{letter}"))
 
         hits = self.hits()
         same = hits.where(F.col("train_class") == F.col("eval_class"))
         other = hits.where(F.col("train_class") != F.col("eval_class")).join(side("a", "train_class"), "train_class").join(side("b", "eval_class"), "eval_class")
         apart = F.zip_with("wa", "wb", lambda a, b: F.abs(a - b))
-        close = other.where(F.forall(F.arrays_zip(apart.alias("d"), F.col("ra").alias("r")), lambda w: w["d"] <= w["r"] + SLACK)).drop("wa", "wb", "ra", "rb")
+        bound = [F.lit(k * self.tolerance + SLACK) for k in (1, 2)]
+        too_far = F.filter(apart, lambda d, i: d > F.when((i >= 3) & (i % 4 == 2), bound[1]).otherwise(bound[0]))
+        close = other.where(F.size(too_far) == 0).drop("wa", "wb")
         return same.unionByName(close.mapInPandas(_verify(self.tolerance), "train_class bigint, eval_class bigint, containment double"))
 
     def record_pairs(self) -> DataFrame:
