@@ -175,7 +175,7 @@ def record_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 long AS (SELECT vertical, el, 'eta' AS scheme_a, 'esp_total' AS scheme_b, abs(eta - esp_total) AS r FROM c UNION ALL SELECT vertical, el, 'eta', 'lagrangian_k', abs(eta - lagrangian_k) FROM c
   UNION ALL SELECT vertical, el, 'esp_total', 'lagrangian_k', abs(esp_total - lagrangian_k) FROM c),
 m AS (SELECT scheme_a, scheme_b, vertical, el, median(r) AS mar, count(r) AS n FROM long WHERE el IS NOT NULL AND r IS NOT NULL GROUP BY ALL),
-e AS (SELECT scheme_a, scheme_b, el, CAST(sum(n) AS BIGINT) AS n, round(sum(mar * n) / sum(n), 6) AS weighted_mar FROM m GROUP BY ALL),
+e AS (SELECT scheme_a, scheme_b, el, CAST(sum(n) AS BIGINT) AS n, round(sum(mar * n) / sum(n) + 1e-10, 8) AS weighted_mar FROM m GROUP BY ALL),
 t AS (SELECT el FROM e GROUP BY el ORDER BY sum(n) DESC, el LIMIT 12)
 SELECT e.* FROM e JOIN t ON e.el = t.el
 """)
@@ -183,7 +183,7 @@ def element_floor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean of the verticals' median residuals by element and scheme pair, weighted by rows, of the twelve commonest elements."""
     pairs = agreement.scheme_pairs(_points(spark, sf_dir).where(F.col("el").isNotNull()), {c: F.col(c) for c in ("eta", "esp_total", "lagrangian_k")}, ["vertical", "el"])
     medians = agreement.pair_medians(pairs, ["scheme_a", "scheme_b", "vertical", "el"])
-    per_element = medians.groupBy("scheme_a", "scheme_b", "el").agg(F.sum("n_obs").alias("n"), F.round(F.sum(F.col("mar") * F.col("n_obs")) / F.sum("n_obs"), 6).alias("weighted_mar"))
+    per_element = medians.groupBy("scheme_a", "scheme_b", "el").agg(F.sum("n_obs").alias("n"), F.round(F.sum(F.col("mar") * F.col("n_obs")) / F.sum("n_obs") + 1e-10, 8).alias("weighted_mar"))
     top = per_element.groupBy("el").agg(F.sum("n").alias("_n")).orderBy(F.desc("_n"), "el").limit(12)
     return per_element.join(F.broadcast(top.select("el")), "el")
 
