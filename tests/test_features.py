@@ -91,3 +91,19 @@ def test_exclusion_misses(spark):
     have, wanted = spark.createDataFrame([("a",), ("a",), ("b",)], "k string"), spark.createDataFrame([("l", "a"), ("l", "c"), ("m", "c"), ("l", "a")], "l string, k string")
     got = {r["l"]: (r["n_requested"], r["n_hit"], r["n_missed"]) for r in joins.exclusion_misses(have, wanted, ["k"], "l").collect()}
     assert got == {"l": (2, 1, 1), "m": (1, 0, 1)}
+
+
+def test_reactions(spark, tmp_path):
+    import json
+
+    from quarrystone.plans import registry
+
+    def graph(charge, sites, links):
+        return {"molecule": {"charge": charge, "sites": [{"name": "C"}] * sites}, "graphs": {"adjacency": [[{"id": 0}] * links]}}
+
+    payloads = [{"reactant_molecule_graph": graph(c, 2, 1), "product_molecule_graph": graph(p, 3, 2)} for c, p in ((1, -1), (3, None), (None, 2))] + [{"0": {"eig_hess": 1.0}}]
+    rows = [(i, json.dumps(p), None) for i, p in enumerate(payloads)]
+    spark.createDataFrame(rows, "rec_id bigint, payload string, loaded_at timestamp").write.parquet(f"{tmp_path}/nested_records.parquet")
+    got = {r["rec_id"]: r for r in registry.queries()["reaction_rows"](spark, str(tmp_path)).collect()}
+    assert {k: (r["reactant_charge"], r["product_charge"], r["n_imputed"]) for k, r in got.items()} == {0: (1.0, -1.0, 0), 1: (3.0, 0.5, 1), 2: (2.0, 2.0, 1)}
+    assert (got[0]["reactant_sites"], got[0]["reactant_links"], got[0]["product_sites"], got[0]["product_links"]) == (2, 1, 3, 2)
